@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estatelens.functions.casenumber import derive_case_number
 from estatelens.functions.dates import dmy_date
@@ -25,7 +26,11 @@ ROW = (
 RESULT_LINE = r"Resulaten ([\d.]+) tot ([\d.]+) van ([\d.]+)"
 
 
-@F.pandas_udf("verslag_kenmerk string, company_name string, city string")
+_UNESCAPED = T.StructType([T.StructField(n, T.StringType())
+                           for n in ("verslag_kenmerk", "company_name", "city")])
+
+
+@F.pandas_udf(_UNESCAPED)
 def _unescape(ids: pd.Series, names: pd.Series, cities: pd.Series) -> pd.DataFrame:
     """HTML entities; the full named-entity table exists in Python only."""
     cols = {"verslag_kenmerk": ids, "company_name": names, "city": cities}

@@ -79,8 +79,8 @@ API_TRADE_NAME = T.StructType(_strings("handelsnaam", "KvKNummer") + [
     T.StructField("correspondentieadressen", _API_ADDRESS),
 ])
 API_MODEL = T.StructType([
-    T.StructField("persoon", T.StructType(_strings(
-        "KvKNummer", "kvkNummer", "voornaam", "voorvoegsel", "achternaam", "geboortedatum"))),
+    # a map, because two of its keys differ by case only
+    T.StructField("persoon", T.MapType(T.StringType(), T.StringType())),
     T.StructField("vestigingsadressen", _API_ADDRESS),
     T.StructField("woonadressen", _API_ADDRESS),
     T.StructField("correspondentieadressen", _API_ADDRESS),

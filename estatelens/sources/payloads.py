@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from estatelens.functions import classify, dates
 from estatelens.functions.privacy import anonymise_debtor
+from estatelens.functions.stages import compute_once
 from estatelens.functions.text import blank_to_null, filled, let, strip
 from estatelens.schemas import ADDRESS, API_CASE, API_MODEL, API_TRADE_NAME, RECORD
 from pyspark.sql import types as T
@@ -16,13 +17,13 @@ _ITEMS = "array<variant>"
 
 def _items(holder: Column) -> Column:
     """The list under ``items`` when the value is an object, else the value itself if a list."""
-    return F.coalesce(F.try_variant_get(holder, "$.items", _ITEMS),
-                      F.try_variant_get(holder, "$", _ITEMS))
+    return let(holder, lambda v: F.coalesce(F.try_variant_get(v, "$.items", _ITEMS),
+                                            F.try_variant_get(v, "$", _ITEMS)))
 
 
 def _member(value: Column, name: str) -> Column:
     """Object member, or the value itself where the object lacks it (or is no object)."""
-    return F.coalesce(F.variant_get(value, f"$.{name}", "variant"), value)
+    return let(value, lambda v: F.coalesce(F.variant_get(v, f"$.{name}", "variant"), v))
 
 
 def _first_filled(item: Column, *names: str) -> Column:
@@ -57,10 +58,10 @@ def decode_search(responses: DataFrame) -> DataFrame:
 
 def attempt_status(payload: Column) -> Column:
     """``fetch_failed`` without readable payload, ``purged`` for a null model, else ``ok``."""
-    model = F.variant_get(F.try_parse_json(payload), "$.model", "variant")
-    return (F.when(F.try_parse_json(payload).isNull(), "fetch_failed")
-            .when(F.is_variant_null(model), "purged")
-            .otherwise("ok"))
+    return let(F.try_parse_json(payload), lambda v: (
+        F.when(v.isNull(), "fetch_failed")
+        .when(F.is_variant_null(F.variant_get(v, "$.model", "variant")), "purged")
+        .otherwise("ok")))
 
 
 def _joined(sep: str, *parts: Column) -> Column:
@@ -149,22 +150,24 @@ def decode_case(payloads: DataFrame) -> DataFrame:
     both = T.StructType(API_CASE.fields + API_MODEL.fields)
     bare = F.struct(*[F.col("_p")[f].alias(f) for f in API_MODEL.fieldNames()])
     keep = [c for c in payloads.columns if c != "payload"]
-    parsed = payloads.withColumn("_p", F.from_json("payload", both)).select(
+    parsed = compute_once(payloads, {"_p": F.from_json("payload", both)}, keep).select(
         *keep, F.coalesce(F.col("_p.model"), bare).alias("m"))
 
+    def person(key: str) -> Column:
+        return F.try_element_at("m.persoon", F.lit(key))
+
     trade = F.transform(
         F.filter(F.col("m.handelendOnderDeNamen"), lambda e: e.isNotNull()),
         lambda e: F.struct(e.alias("text"),
                            F.when(e.startswith("{"), F.from_json(e, API_TRADE_NAME))
                            .alias("object")))
-    staged = parsed.withColumns({
+    staged = compute_once(parsed, {
         "trade": F.coalesce(trade, F.array().cast(T.ArrayType(T.StructType([
             T.StructField("text", T.StringType()),
             T.StructField("object", API_TRADE_NAME)])))),
-        "own_kvk": F.coalesce(blank_to_null(F.col("m.persoon.KvKNummer")),
-                              blank_to_null(F.col("m.persoon.kvkNummer"))),
-        "personal": filled(F.col("m.persoon.voornaam"))
-        | filled(F.col("m.persoon.geboortedatum")),
+        "own_kvk": F.coalesce(blank_to_null(person("KvKNummer")),
+                              blank_to_null(person("kvkNummer"))),
+        "personal": filled(person("voornaam")) | filled(person("geboortedatum")),
         "pubs": _publications(F.col("m.publicatiegeschiedenis")),
     })
     trade_kvks = F.filter(F.transform("trade", lambda t: t["object"]["KvKNummer"]), filled)
@@ -177,9 +180,8 @@ def decode_case(payloads: DataFrame) -> DataFrame:
                     .otherwise("person"))
               .when(F.col("kvk").isNotNull(), "company")
               .otherwise("person"))
-    name = F.when(legal_person, F.coalesce(m["persoon"]["achternaam"], F.lit(""))).otherwise(
-        person_name(m["persoon"]["voornaam"], m["persoon"]["voorvoegsel"],
-                    m["persoon"]["achternaam"]))
+    name = F.when(legal_person, F.coalesce(person("achternaam"), F.lit(""))).otherwise(
+        person_name(person("voornaam"), person("voorvoegsel"), person("achternaam")))
     addresses = F.concat(
         _addresses("vestiging", m["vestigingsadressen"]),
         _addresses("woon", m["woonadressen"]),
@@ -209,7 +211,7 @@ def decode_case(payloads: DataFrame) -> DataFrame:
         F.col("pubs").alias("publications"),
         F.array().cast(RECORD["documents"].dataType).alias("documents"),
     )
-    return staged.select(*keep, record.alias("record"))
+    return compute_once(staged, {"record": record}, keep)
 
 
 # ------------------------------------------------------------------------------- reports
@@ -257,7 +259,7 @@ def anonymise(cases: DataFrame, salt: str) -> DataFrame:
     natural = record["type"].isin("person", "eenmanszaak")
     changed = record.withField("debtor", anonymise_debtor(record["debtor"], record["type"], salt))
     changed = changed.withField("is_anonymized", record["is_anonymized"] | natural)
-    return cases.withColumn("record", changed)
+    return compute_once(cases, {"record": changed})
 
 
 def normalise_cases(payloads: DataFrame, salt: str, reports: DataFrame | None = None) -> DataFrame:
@@ -266,7 +268,7 @@ def normalise_cases(payloads: DataFrame, salt: str, reports: DataFrame | None =
     Every payload yields one row: its status, and for readable cases the entity class and the
     anonymised record as JSON.  ``reports`` adds documents to company cases.
     """
-    staged = payloads.withColumn("status", attempt_status(F.col("payload")))
+    staged = compute_once(payloads, {"status": attempt_status(F.col("payload"))})
     readable = anonymise(decode_case(staged.filter("status = 'ok'")), salt)
     if reports is not None:
         number = F.when(_reportable(F.col("record.type"), F.col("record.insolventienummer")),
@@ -279,12 +281,14 @@ def normalise_cases(payloads: DataFrame, salt: str, reports: DataFrame | None =
                                                             documents_of(F.col("_body")))))
     stamped = F.col("record").withField(
         "scraped_at", F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    as_json = F.to_json(stamped, {"ignoreNullFields": "false"})
-    done = readable.select(
+    written = compute_once(readable, {
+        "json": F.to_json(stamped, {"ignoreNullFields": "false"}),
+        "entity_type": F.col("record.type")})
+    done = written.select(
         F.col("query_kenmerk").alias("kenmerk"), "scraped_at",
-        F.when(as_json.isNull(), "parse_failed").otherwise("ok").alias("status"),
-        F.col("record.type").alias("entity_type"), F.lit("").alias("error"),
-        F.coalesce(as_json, F.lit("")).alias("record"))
+        F.when(F.col("json").isNull(), "parse_failed").otherwise("ok").alias("status"),
+        "entity_type", F.lit("").alias("error"),
+        F.coalesce("json", F.lit("")).alias("record"))
     failed = staged.filter("status != 'ok'").select(
         F.col("query_kenmerk").alias("kenmerk"), "scraped_at", "status",
         F.lit("").alias("entity_type"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from estatelens.functions.stages import compute_once
 from estatelens.schemas import RECORD
 
 MAX_BATCH = 20_000
@@ -48,8 +49,8 @@ def next_checkpoint(batch: DataFrame) -> DataFrame:
 def with_record(raw: DataFrame) -> DataFrame:
     """Adds the decoded record; ``malformed`` marks rows that are no JSON object."""
     schema = T.StructType(RECORD.fields + [T.StructField("_corrupt_record", T.StringType())])
-    parsed = raw.withColumn("_r", F.from_json("record", schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    parsed = compute_once(raw, {"_r": F.from_json("record", schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})})
     plain = F.struct(*[F.col(f"_r.{f}").alias(f) for f in RECORD.fieldNames()])
     bad = F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull()
     return (parsed.withColumn("malformed", bad).withColumn("_raw", F.col("record"))

@@ -16,22 +16,22 @@ def with_month(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumn("scraped_month", F.date_format(spec.month_of, "yyyy-MM"))
 
 
-def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "append",
-                files_per_month: int = 8) -> None:
-    """Month folders, rows sorted by key within files (tight min/max statistics).
+def by_month(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows brought together by month.  Rebalancing splits a large month over several tasks and
+    joins small ones, so neither one task nor thousands of tiny files result."""
+    monthly = with_month(df, spec)
+    return monthly.hint("rebalance", "scraped_month") if spec.month_of else monthly
 
-    Rows spread over ``files_per_month`` tasks per month, by a hash of the key: a month is
-    neither one task's work nor scattered over thousands of small files.
-    """
+
+def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "append") -> None:
+    """Month folders, rows sorted by key within files (tight min/max statistics)."""
     order = list(spec.sort or spec.key)
+    rows = by_month(df, spec)
     if spec.month_of is None:
-        df.sortWithinPartitions(*order).write.mode(mode).parquet(path)
-        return
-    monthly = with_month(df, spec).withColumn(
-        "_slot", F.pmod(F.xxhash64(*spec.key), F.lit(files_per_month)))
-    (monthly.repartition("scraped_month", "_slot").drop("_slot")
-     .sortWithinPartitions("scraped_month", *order)
-     .write.mode(mode).partitionBy("scraped_month").parquet(path))
+        rows.sortWithinPartitions(*order).write.mode(mode).parquet(path)
+    else:
+        (rows.sortWithinPartitions("scraped_month", *order)
+         .write.mode(mode).partitionBy("scraped_month").parquet(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

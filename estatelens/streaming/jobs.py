@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from estatelens.operators.fanout import to_cases, to_documents, to_publications
 from estatelens.schemas import CASES, DOCUMENTS, PUBLICATIONS, RAW_ROW, TableSpec
 from estatelens.sources.rawlog import decode_record
-from estatelens.sources.tables import with_month
+from estatelens.sources.tables import by_month
 
 FLUSH_INTERVAL = "10 seconds"
 
@@ -48,7 +48,7 @@ def read_raw_stream(spark: SparkSession, path: str, max_files: int = 100,
 
 def _write(df: DataFrame, path: str, spec: TableSpec, batch_id: int) -> None:
     # a replayed batch overwrites its own folders and nothing else
-    (with_month(df, spec).withColumn("batch_id", F.lit(batch_id))
+    (by_month(df, spec).withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("scraped_month", "batch_id").parquet(path))
 

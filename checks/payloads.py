@@ -130,6 +130,11 @@ def records(s: Source) -> DataFrame:
                          record.alias("record"), "o_orderkey")
 
 
+def by_year(log: DataFrame) -> DataFrame:
+    """Attempts dated to the start of their year: few month folders, each with many rows."""
+    return log.withColumn("scraped_at", F.date_trunc("year", "scraped_at").cast("timestamp_ntz"))
+
+
 _OK = f"""select r.*, c_name, c_nationkey, {ENTITY} as kind, {court(D)} as court,
       case when c_nationkey % 3 = 0 then concat('R', cast(o_orderkey as varchar)) else kenmerk end
         as own_id
@@ -229,7 +234,7 @@ def _(s: Source) -> DataFrame:
     """Writes one batch twice, as a replay would: the tables must not change."""
     out = work_dir(s.spark, "fanout")
     for _ in range(2):
-        write_fanout(records(s), out, batch_id=7)
+        write_fanout(by_year(records(s)), out, batch_id=7)
     counts = [s.spark.read.parquet(f"{out}/{name}").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("kenmerk").alias("n_cases")).select(
         F.lit(name).alias("table_name"), "n", "n_cases") for name in OUTPUTS]

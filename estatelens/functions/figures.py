@@ -78,14 +78,14 @@ def parse_revenue(text: Column) -> Column:
                          *[F.lit(None).cast("double").alias(c) for c in _CELLS])
 
         def add(acc: Column, piece: Column) -> Column:
-            value = parse_euro(blank_to_null(F.regexp_extract(piece, rf"(?U)\A{EURO}", 0)))
-            hit = value.isNotNull()
+            amount = parse_euro(blank_to_null(F.regexp_extract(piece, rf"(?U)\A{EURO}", 0)))
             mine = {"omzet": acc["at"] < b1,
                     "winst_verlies": (acc["at"] >= b1) & (acc["at"] < b2),
                     "balanstotaal": (acc["at"] >= b1) & (acc["at"] >= b2)}
-            return F.struct((acc["at"] + F.length(piece)).alias("at"),
-                            *[F.when(hit & mine[c], value).otherwise(acc[c]).alias(c)
-                              for c in _CELLS])
+            return let(amount, lambda value: F.struct(
+                (acc["at"] + F.length(piece)).alias("at"),
+                *[F.when(mine[c] & value.isNotNull(), value).otherwise(acc[c]).alias(c)
+                  for c in _CELLS]))
 
         total = F.aggregate(F.split(m["line"], "(?=€)"), empty, add)
         return let(total, lambda a: F.struct(m["jaar"].alias("jaar"),

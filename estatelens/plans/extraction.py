@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from estatelens.functions import figures
 from estatelens.functions.sections import split_sections
+from estatelens.functions.stages import compute_once
 from estatelens.functions.text import clean_text, lines
 from estatelens.operators.responses import answers, validate_responses, with_section_texts
 
 
 def section_reports(texts: DataFrame) -> DataFrame:
     """(document_kenmerk, text) to the cleaned text, its lines and its sections."""
-    cleaned = texts.withColumn("cleaned", clean_text(F.col("text")))
-    return cleaned.withColumns({"lines": lines(F.col("cleaned")),
-                                "sections": split_sections(F.col("cleaned"))})
+    cleaned = compute_once(texts, {"cleaned": clean_text(F.col("text"))})
+    return compute_once(cleaned, {"lines": lines(F.col("cleaned")),
+                                  "sections": split_sections(F.col("cleaned"))})
 
 
 def mine_reports(sectioned: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def mine_reports(sectioned: DataFrame) -> DataFrame:
     section = F.coalesce(F.try_element_at("sections", F.lit("crediteuren")), F.lit(""))
     staff = F.coalesce(F.try_element_at("sections", F.lit("personeel")), F.lit(""))
     whole = F.col("cleaned")
-    return sectioned.withColumns({
+    return compute_once(sectioned, {
         "revenue": figures.parse_revenue(F.col("text")),
         "assets": figures.asset_realizations(whole),
         "boedel": figures.estate_balances(whole),
@@ -58,7 +59,7 @@ def _wanted_reports(worklist: DataFrame) -> DataFrame:
 def _mined_cases(worklist: DataFrame, texts: DataFrame) -> DataFrame:
     reports = _wanted_reports(worklist).join(
         texts.select("document_kenmerk", "text"), "document_kenmerk")
-    reports = reports.withColumn("cleaned", clean_text(F.col("text")))
+    reports = compute_once(reports, {"cleaned": clean_text(F.col("text"))})
     narrative = ~F.col("is_financial")
     whole = F.col("cleaned")
     mined = reports.select(

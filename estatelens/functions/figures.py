@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from estatelens.functions.text import (
-    EURO, H, blank_to_null, let, parse_euro, strip, unify_line_ends,
+    EURO, H, let, matched_euro, unify_line_ends,
 )
 from estatelens.vocab import (
     ASSET_CATEGORIES, DEBT_LABELS, DEBT_SUBSECTIONS, ESTATE_LABELS, HEADCOUNT_HEADERS,
@@ -45,7 +45,7 @@ def parse_revenue(text: Column) -> Column:
                 ln.alias("line"),
                 F.regexp_extract(ln, r"(?U)^\s*((?:19|20)\d{2})\b", 1)
                 .try_cast("int").alias("jaar"),
-                (strip(ln) == "").alias("blank")))
+                (~ln.rlike(r"(?U)\S")).alias("blank")))
         parts = F.struct(
             marked.alias("marked"),
             F.floor((at["Winst"] + at["Omzet"]) / 2).alias("b1"),
@@ -78,7 +78,7 @@ def parse_revenue(text: Column) -> Column:
                          *[F.lit(None).cast("double").alias(c) for c in _CELLS])
 
         def add(acc: Column, piece: Column) -> Column:
-            amount = parse_euro(blank_to_null(F.regexp_extract(piece, rf"(?U)\A{EURO}", 0)))
+            amount = matched_euro(F.regexp_extract(piece, rf"(?U)\A{EURO}", 0))
             mine = {"omzet": acc["at"] < b1,
                     "winst_verlies": (acc["at"] >= b1) & (acc["at"] < b2),
                     "balanstotaal": (acc["at"] >= b1) & (acc["at"] >= b2)}
@@ -110,9 +110,9 @@ def merge_revenue(primary: Column, secondary: Column) -> Column:
 
 # --------------------------------------------------------------------------- financial reports
 
-# one scan collects every "(sub)totaal <category> ... amount"; a lookahead, so that two labels
-# on one line both count
-_TOTALS = (r"(?iU)(?=(totaal\s+(?:" + "|".join(p for _, p in ASSET_CATEGORIES)
+# one scan collects every "(sub)totaal <category> ... amount"; the lookahead consumes nothing, so
+# that two labels on one line both count
+_TOTALS = (r"(?iU)totaal(?=(\s+(?:" + "|".join(p for _, p in ASSET_CATEGORIES)
            + rf")[^\n€]*{EURO}))")
 
 
@@ -120,10 +120,10 @@ def asset_realizations(text: Column) -> Column:
     """MAP(category, proceeds): last total line per category wins, zero amounts dropped."""
 
     def entry(hits: Column, key: str, pattern: str) -> Column:
-        mine = F.filter(hits, lambda h: h.rlike(rf"(?iU)\Atotaal\s+{pattern}"))
+        mine = F.filter(hits, lambda h: h.rlike(rf"(?iU)\A\s+{pattern}"))
         last = F.try_element_at(mine, F.lit(-1))
         return F.struct(F.lit(key).alias("key"),
-                        parse_euro(F.regexp_extract(last, f"(?U){EURO}", 0)).alias("value"))
+                        matched_euro(F.regexp_extract(last, f"(?U){EURO}", 0)).alias("value"))
 
     def pick(hits: Column) -> Column:
         entries = [entry(hits, key, pattern) for key, pattern in ASSET_CATEGORIES]
@@ -136,23 +136,26 @@ def asset_realizations(text: Column) -> Column:
 def estate_balances(text: Column) -> Column:
     """STRUCT of the three labelled estate balances (first hit, case-sensitive)."""
     return F.struct(*[
-        parse_euro(F.regexp_extract(text, rf"(?U){label}\s+({EURO})", 1)).alias(key)
+        matched_euro(F.regexp_extract(text, rf"(?U){label}\s+({EURO})", 1)).alias(key)
         for key, label in ESTATE_LABELS])
 
 
 def creditor_recovery(text: Column) -> Column:
     """STRUCT per creditor class: claimed, paid and recovery percentage."""
 
-    def parts(kind: str, label: str) -> Column:
-        pattern = rf"(?U){label}\s+({EURO})\s+({EURO})\s+([\d.,]+)\s*%"
-        pct = F.translate(F.regexp_extract(text, pattern, 3), ",.", ".")
+    def parts(line: Column) -> Column:
+        amounts = F.regexp_extract_all(line, F.lit(f"(?U){EURO}"), F.lit(0))
+        pct = F.translate(F.regexp_extract(line, r"(?U)([\d.,]+)\s*%$", 1), ",.", ".")
         return F.struct(
-            parse_euro(F.regexp_extract(text, pattern, 1)).alias("ingediend"),
-            parse_euro(F.regexp_extract(text, pattern, 2)).alias("uitkering"),
+            matched_euro(F.get(amounts, F.lit(0))).alias("ingediend"),
+            matched_euro(F.get(amounts, F.lit(1))).alias("uitkering"),
             F.when(pct.rlike(r"^(\d+\.?\d*|\.\d+)$"), pct.try_cast("double"))
-            .alias("recovery_pct")).alias(kind)
+            .alias("recovery_pct"))
 
-    return F.struct(*[parts(kind, label) for kind, label in RECOVERY_LABELS])
+    def line(label: str) -> Column:
+        return F.regexp_extract(text, rf"(?U){label}\s+{EURO}\s+{EURO}\s+[\d.,]+\s*%", 0)
+
+    return F.struct(*[let(line(label), parts).alias(kind) for kind, label in RECOVERY_LABELS])
 
 
 def debt_totals(text: Column, fallback: Column | None = None) -> Column:
@@ -161,7 +164,7 @@ def debt_totals(text: Column, fallback: Column | None = None) -> Column:
 
     def amount(label: str) -> Column:
         return F.coalesce(*[
-            parse_euro(F.regexp_extract(s, rf"(?iU){label}[^\n€]*({EURO})", 1))
+            matched_euro(F.regexp_extract(s, rf"(?iU){label}[^\n€]*({EURO})", 1))
             for s in sources])
 
     return F.struct(*[amount(label).alias(key) for key, label in DEBT_LABELS])
@@ -207,7 +210,7 @@ def debt_sections(creditors: Column) -> Column:
                 value = F.regexp_extract(last, r"(?U)\d+", 0).try_cast("int")
             else:
                 amounts = F.filter(
-                    F.transform(bodies(parts, digit, _EURO_LINE, 1), lambda h: parse_euro(h)),
+                    F.transform(bodies(parts, digit, _EURO_LINE, 1), lambda h: matched_euro(h)),
                     lambda v: v.isNotNull())
                 value = F.try_element_at(amounts, F.lit(-1))
             fields.append(value.alias(key))

@@ -17,6 +17,7 @@ def compute_once(df: DataFrame, columns: dict[str, Column],
     new columns through a one-element explode stops this without a shuffle.
     """
     kept = [c for c in (df.columns if keep is None else keep) if c not in columns]
-    packed = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
-    staged = df.select(*kept, F.explode(packed).alias("_stage"))
+    # computed in a projection, which compiles; the explode only passes the result on
+    packed = df.select(*kept, F.struct(*[c.alias(n) for n, c in columns.items()]).alias("_row"))
+    staged = packed.select(*kept, F.explode(F.array("_row")).alias("_stage"))
     return staged.select(*kept, *[F.col(f"_stage.{n}").alias(n) for n in columns])

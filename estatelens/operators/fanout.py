@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,8 +88,11 @@ DEBT_COLUMNS = ["boedelvorderingen", "pref_fiscus", "pref_uwv", "pref_overig", "
                 "concurrent_bedrag", "concurrent_aantal"]
 
 
-def to_profile(records: DataFrame, model: str = "") -> DataFrame:
-    """One row per case: '' and [] for missing text and lists, NULL for missing flags."""
+def to_profile(records: DataFrame, model: str = "", extra: Sequence[str] = ()) -> DataFrame:
+    """One row per case: '' and [] for missing text and lists, NULL for missing flags.
+
+    ``extra`` names further columns to pass through.
+    """
     none = F.array().cast("array<string>")
     return records.select(
         "kenmerk",
@@ -98,7 +103,7 @@ def to_profile(records: DataFrame, model: str = "") -> DataFrame:
             "saldo_boedelrekening", "definitief_saldo", "beschikbaar_voor_uitdeling")],
         F.col("creditors.preferente.recovery_pct").alias("pref_recovery_pct"),
         F.col("creditors.concurrente.recovery_pct").alias("conc_recovery_pct"),
-        F.lit(model).alias("model"))
+        F.lit(model).alias("model"), *extra)
 
 
 def to_revenue(records: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from estatelens.functions.privacy import (
     redact_persons, scrub_known_persons,
 )
 from estatelens.functions.sections import governance_tail, pick_section, settlement_tail
+from estatelens.functions.stages import compute_once
 from estatelens.functions.text import (
     blank_to_null, filled, grounded, grounded_in, norm_name, squeeze, strip,
 )
@@ -228,7 +229,7 @@ def validate_responses(cases: DataFrame, salt: str) -> DataFrame:
     activity, sector = valid_summary(a["sector"], "activiteiten", "sector")
     cause, cause_label = valid_summary(a["oorzaak"], "oorzaak", "categorie")
     kept = [c for c in cases.columns if c != "text" and not c.startswith("a_")]
-    staged = cases.withColumns({
+    staged = compute_once(cases, {
         "activiteiten": activity, "sector": sector,
         "oorzaak": cause, "oorzaak_categorie": cause_label,
         "doorstart": restarted(a["doorstart"]), "overnemer": valid_acquirer(a["doorstart"]),
@@ -242,7 +243,7 @@ def validate_responses(cases: DataFrame, salt: str) -> DataFrame:
                                         valid_creditor_count(a["afwikkeling"])),
     })
     price_known = F.col("doorstart")
-    staged = staged.withColumns({
+    staged = compute_once(staged, {
         "koopsom": F.when(price_known, F.try_variant_get(a["koopsom"], "$.koopsom", "double")),
         "koopsom_toelichting": F.when(price_known,
                                       redact_persons(_text(a["koopsom"], "toelichting"))),
@@ -253,7 +254,7 @@ def validate_responses(cases: DataFrame, salt: str) -> DataFrame:
             director_relations(a["directie"], t["inventarisatie"]),
             bank_relations(a["bank"], t["zekerheden"])),
     })
-    scrubbed = staged.withColumns({
+    scrubbed = compute_once(staged, {
         **{c: scrub_known_persons(F.col(c), F.col("_pattern")) for c in FREE_TEXT},
         "relations": dedupe_relations(F.col("_relations"), F.col("debtor_name")),
     })

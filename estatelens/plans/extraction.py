@@ -83,14 +83,8 @@ def _mined_cases(worklist: DataFrame, texts: DataFrame) -> DataFrame:
         part("is_financial", "financial").alias("f"))
 
 
-def extract_company(worklist: DataFrame, texts: DataFrame, responses: DataFrame | None = None,
-                    salt: str = "") -> DataFrame:
-    """One record per case of the worklist (kenmerk, first_nar, last_nar, last_fin, debtor_name,
-    insolventienummer, kvk_nummer).
-
-    ``texts`` is (document_kenmerk, text), ``responses`` is (kenmerk, field, reply).  A case whose
-    texts are missing keeps a record without figures.
-    """
+def _mined_worklist(worklist: DataFrame, texts: DataFrame) -> DataFrame:
+    """Worklist rows with the chosen sections (struct ``text``) and all figures."""
     cases = worklist.select("kenmerk", "insolventienummer", "kvk_nummer", "debtor_name").join(
         _mined_cases(worklist, texts), "kenmerk", "left")
     empty_map = F.create_map().cast("map<string,string>")
@@ -106,10 +100,25 @@ def extract_company(worklist: DataFrame, texts: DataFrame, responses: DataFrame
         .alias("asset_realizations"),
         F.col("f.boedel").alias("boedel"), F.col("f.creditors").alias("creditors"),
         F.col("f.debt").alias("totals"))
-    cases = with_section_texts(cases).drop("first", "latest")
-    by_section = figures.debt_sections(F.col("text.crediteuren"))
-    staff = figures.headcount(F.col("text.personeel"))
-    cases = cases.withColumns({"by_section": by_section, "staff": staff})
+    return with_section_texts(cases).drop("first", "latest")
+
+
+def case_sections(worklist: DataFrame, texts: DataFrame) -> DataFrame:
+    """(kenmerk, text): the sections a scorer is asked about, input of ``prompt_requests``."""
+    return _mined_worklist(worklist, texts).select("kenmerk", "text")
+
+
+def extract_company(worklist: DataFrame, texts: DataFrame, responses: DataFrame | None = None,
+                    salt: str = "") -> DataFrame:
+    """One record per case of the worklist (kenmerk, first_nar, last_nar, last_fin, debtor_name,
+    insolventienummer, kvk_nummer).
+
+    ``texts`` is (document_kenmerk, text), ``responses`` is (kenmerk, field, reply).  A case whose
+    texts are missing keeps a record without figures.
+    """
+    cases = compute_once(_mined_worklist(worklist, texts), {
+        "by_section": figures.debt_sections(F.col("text.crediteuren")),
+        "staff": figures.headcount(F.col("text.personeel"))})
     none = F.col("staff.personeel_ttv").isNull() & F.col("staff.personeel_jaar_voor").isNull()
     cases = cases.withColumns({
         "debt": figures.merge_debt(F.col("by_section"), F.col("totals")),

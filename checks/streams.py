@@ -1 +1,56 @@
-"""Check queries."""
+"""Streaming jobs run to completion over files written from the derived tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from checks.base import Source, query
+from checks.payloads import _GOOD, by_year, records
+from estatelens.session import work_dir
+from estatelens.streaming.jobs import (
+    OUTPUTS, StreamSpec, read_raw_stream, stream_fanout, stream_tasks_filter,
+)
+
+
+@query("stream_fanout", f"""select 'processed_cases' as table_name, year(scraped_at) as year, count(*) as n,
+      count(distinct own_id) as n_cases from ({_GOOD}) group by 2
+    union all select 'processed_publications', year(scraped_at), count(*), count(distinct own_id)
+      from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey group by 2
+    union all select 'processed_documents', year(scraped_at), count(*), count(distinct own_id)
+      from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey where l_returnflag <> 'N' group by 2""")
+def _(s: Source) -> DataFrame:
+    """The attempt log arrives in several files and micro-batches; the tables must equal those of
+    one batch."""
+    folder = work_dir(s.spark, "stream")
+    log = by_year(records(s)).select(
+        "kenmerk", F.col("scraped_at").cast("timestamp").alias("scraped_at"), "status",
+        "entity_type", F.lit("").alias("error"), "record", F.lit("").alias("git_sha"))
+    log.repartition(4, "kenmerk").write.parquet(f"{folder}/raw")
+    stream = read_raw_stream(s.spark, f"{folder}/raw", max_files=2)
+    stream_fanout(stream, StreamSpec(f"{folder}/out", f"{folder}/checkpoint")).awaitTermination()
+    counts = [s.spark.read.parquet(f"{folder}/out/{name}").groupBy(
+        F.year("scraped_at").cast("bigint").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("kenmerk").alias("n_cases")).select(
+        F.lit(name).alias("table_name"), "year", "n", "n_cases") for name in OUTPUTS]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("stream_tasks_filter", """select concat('T', cast(event_id as varchar)) as kenmerk,
+      case when event_id % 2 = 0 then event_type else '' end as court from {events}
+    where event_type not in ('error') and event_id % 7 <> 3""")
+def _(s: Source) -> DataFrame:
+    """Tasks without an id (error events) and bodies cut short are dropped."""
+    folder = work_dir(s.spark, "tasks")
+    key = F.col("event_id")
+    full = F.to_json(F.struct(
+        F.when(F.col("event_type") != "error", F.concat(F.lit("T"), key)).alias("kenmerk"),
+        F.when(key % 2 == 0, F.col("event_type")).alias("court")))
+    body = F.when(key % 7 == 3, F.substring(full, 1, 9)).otherwise(full)
+    s.table("events").select(body.alias("body")).repartition(4).write.parquet(f"{folder}/in")
+    bodies = (s.spark.readStream.schema("body string").option("maxFilesPerTrigger", 2)
+              .parquet(f"{folder}/in"))
+    writer = stream_tasks_filter(bodies).writeStream.format("parquet").option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    writer.start(f"{folder}/out").awaitTermination()
+    return s.spark.read.parquet(f"{folder}/out")

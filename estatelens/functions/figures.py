@@ -91,7 +91,10 @@ def parse_revenue(text: Column) -> Column:
         return let(total, lambda a: F.struct(m["jaar"].alias("jaar"),
                                              *[a[c].alias(c) for c in _CELLS]))
 
-    return F.coalesce(F.when(block != "", let(F.split(block, "\n"), table)), no_rows)
+    # most texts hold no table, which a plain search tells
+    found = F.when(F.contains(text, F.lit("Balanstotaal")), let(
+        block, lambda b: F.when(b != "", let(F.split(b, "\n"), table))))
+    return F.coalesce(found, no_rows)
 
 
 def merge_revenue(primary: Column, secondary: Column) -> Column:

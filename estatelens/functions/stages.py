@@ -14,10 +14,9 @@ def compute_once(df: DataFrame, columns: dict[str, Column],
 
     A filter or a join key on a plain computed column is pushed below the projection and drags a
     copy of its whole expression along; nested parsing expressions multiply that way.  Passing the
-    new columns through a one-element explode stops this without a shuffle.
+    new columns through a one-row generator stops this without a shuffle.
     """
     kept = [c for c in (df.columns if keep is None else keep) if c not in columns]
-    # computed in a projection, which compiles; the explode only passes the result on
+    # computed in a projection, which compiles; the generator only passes the result on
     packed = df.select(*kept, F.struct(*[c.alias(n) for n, c in columns.items()]).alias("_row"))
-    staged = packed.select(*kept, F.explode(F.array("_row")).alias("_stage"))
-    return staged.select(*kept, *[F.col(f"_stage.{n}").alias(n) for n in columns])
+    return packed.select(*kept, F.inline(F.array("_row")))

@@ -224,11 +224,13 @@ FREE_TEXT = ["oorzaak", "activiteiten", "ie_rechten", "koopsom_toelichting"]
 def validate_responses(cases: DataFrame, salt: str) -> DataFrame:
     """Rows with the struct ``text``, answers ``a_<field>``, ``debtor_name`` and the parsed
     creditor count ``parsed_count`` to checked profile columns and relations."""
+    kept = [c for c in cases.columns if c != "text" and not c.startswith("a_")]
+    used = ("andere_activa", "doorstart", "inventarisatie", "zekerheden")
+    cases = cases.select("*", *[F.col(f"text.{c}").alias(f"_text_{c}") for c in used]).drop("text")
     a = {f: F.col(f"a_{f}") for f in FIELDS}
-    t = F.col("text")
+    t = {c: F.col(f"_text_{c}") for c in used}
     activity, sector = valid_summary(a["sector"], "activiteiten", "sector")
     cause, cause_label = valid_summary(a["oorzaak"], "oorzaak", "categorie")
-    kept = [c for c in cases.columns if c != "text" and not c.startswith("a_")]
     staged = compute_once(cases, {
         "activiteiten": activity, "sector": sector,
         "oorzaak": cause, "oorzaak_categorie": cause_label,

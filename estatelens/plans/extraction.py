@@ -14,22 +14,23 @@ from estatelens.functions.sections import split_sections
 from estatelens.functions.stages import compute_once
 from estatelens.functions.text import clean_text, lines
 from estatelens.operators.responses import answers, validate_responses, with_section_texts
+from estatelens.vocab import DEBT_LABELS
 
 
 def section_reports(texts: DataFrame) -> DataFrame:
     """(document_kenmerk, text) to the cleaned text, its lines and its sections."""
     cleaned = compute_once(texts, {"cleaned": clean_text(F.col("text"))})
-    return compute_once(cleaned, {"lines": lines(F.col("cleaned")),
-                                  "sections": split_sections(F.col("cleaned"))})
+    sectioned = compute_once(cleaned, {"sections": split_sections(F.col("cleaned"))})
+    return sectioned.withColumn("lines", lines(F.col("cleaned")))
 
 
 def mine_reports(sectioned: DataFrame) -> DataFrame:
-    """All figures of a report.  The revenue table reads the uncleaned text: a page break inside
+    """All figures of a report.  Input columns pass through, lines excepted.  The revenue table reads the uncleaned text: a page break inside
     it counts as a line."""
     section = F.coalesce(F.try_element_at("sections", F.lit("crediteuren")), F.lit(""))
     staff = F.coalesce(F.try_element_at("sections", F.lit("personeel")), F.lit(""))
     whole = F.col("cleaned")
-    return compute_once(sectioned, {
+    return compute_once(sectioned.drop("lines"), {
         "revenue": figures.parse_revenue(F.col("text")),
         "assets": figures.asset_realizations(whole),
         "boedel": figures.estate_balances(whole),
@@ -120,18 +121,19 @@ def extract_company(worklist: DataFrame, texts: DataFrame, responses: DataFrame
         "by_section": figures.debt_sections(F.col("text.crediteuren")),
         "staff": figures.headcount(F.col("text.personeel"))})
     none = F.col("staff.personeel_ttv").isNull() & F.col("staff.personeel_jaar_voor").isNull()
-    cases = cases.withColumns({
-        "debt": figures.merge_debt(F.col("by_section"), F.col("totals")),
-        "staff": F.when(none, F.col("whole_headcount")).otherwise(F.col("staff")),
-    }).drop("by_section", "totals", "whole_headcount")
+    claims = figures.merge_debt(F.col("by_section"), F.col("totals"))
+    claim_names = [key for key, _ in DEBT_LABELS]
+    # flat columns: field access stays below the stages that follow
+    flat = cases.withColumns({
+        "_claims": claims,
+        "_staff": F.when(none, F.col("whole_headcount")).otherwise(F.col("staff"))}).select(
+        "kenmerk", "insolventienummer", "kvk_nummer", "debtor_name", "omzet_historie",
+        "asset_realizations", "boedel", "creditors", "text", "_staff.personeel_ttv",
+        "_staff.personeel_jaar_voor", *[f"_claims.{c}" for c in claim_names],
+        F.col("_claims.concurrent_aantal").alias("parsed_count"))
     if responses is None:
         responses = cases.sparkSession.createDataFrame(
             [], "kenmerk string, field string, reply string")
-    answered = cases.join(answers(responses), "kenmerk", "left").withColumn(
-        "parsed_count", F.col("debt.concurrent_aantal"))
-    checked = validate_responses(answered, salt)
-    return checked.withColumns({
-        "personeel_ttv": F.col("staff.personeel_ttv"),
-        "personeel_jaar_voor": F.col("staff.personeel_jaar_voor"),
-        "debt": F.col("debt").withField("concurrent_aantal", F.col("concurrent_aantal")),
-    }).drop("staff", "parsed_count", "concurrent_aantal")
+    checked = validate_responses(flat.join(answers(responses), "kenmerk", "left"), salt)
+    return checked.withColumn("debt", F.struct(*claim_names, "concurrent_aantal")).drop(
+        *claim_names, "parsed_count", "concurrent_aantal")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.base import D, S, Source, query
-from checks.reports import ASSETS, DEBT, FIG, MERGED, figures_of, report_texts
+from checks.reports import ASSETS, DEBT, FIG, MERGED, report_texts
 from estatelens.operators import fanout, responses
 from estatelens.plans.extraction import extract_company
 from estatelens.vocab import SECTORS

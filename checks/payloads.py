@@ -654,7 +654,6 @@ def _(s: Source) -> DataFrame:
 def _(s: Source) -> DataFrame:
     """Web pages of other sites hold no listing rows; every page is read in full."""
     other = s.table("pages").select(F.col("page_id").alias("page"), "html")
-    found = pages.parse_listing(other).agg(F.count(F.lit(1)).alias("rows"))
-    audited = pages.audit_listing(other).filter("verdict = 'no result line'").agg(
-        F.count(F.lit(1)).alias("pages"))
-    return found.join(audited)
+    return pages.audit_listing(other).agg(
+        F.sum("parsed").cast("bigint").alias("rows"),
+        F.count_if(F.col("verdict") == "no result line").alias("pages"))

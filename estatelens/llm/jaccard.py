@@ -42,12 +42,13 @@ HUB_MEMBERS = 1000
 @dataclass(frozen=True)
 class JaccardParams:
     """``percent``: least similarity; ``shingle``: words in a run; ``sketch_bits``: counters of the
-    sketch as a power of two (one byte each is sent to every task); ``max_light``: upper end of
-    the cost-chosen boundary."""
+    sketch as a power of two (one byte each is sent to every task); ``filter_bits``: bits of the
+    filter of repeated keys, likewise; ``max_light``: upper end of the cost-chosen boundary."""
 
     percent: int = 80
     shingle: int = 5
     sketch_bits: int = 22
+    filter_bits: int = 26
     max_light: int = 128
 
 
@@ -74,32 +75,33 @@ def count_sketch(texts: DataFrame, params: JaccardParams) -> np.ndarray:
 
     def row(key: int, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([key], pa.int32()), pa.array([counts.astype("<i8").tobytes()])],
-            ["chunk", "counts"])
+            [pa.array([key], pa.int32()), pa.array([counts.tobytes()])], ["chunk", "counts"])
 
     def count(batches):
-        own = np.zeros(1 << bits, np.int32)
+        own = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for _, data, offsets in text_slices(batch.column(0)):
                 starts, ends, firsts = word_spans(data, offsets)
                 hashes, _ = shingle_hashes(word_hashes(data, starts, ends), firsts, size)
                 at, n = np.unique((hashes >> shift).astype(np.int64), return_counts=True)
-                own[at] += n.astype(np.int32)
+                own[at] += n
         for i in range(0, len(own), chunk):
-            if own[i:i + chunk].any():
-                yield row(i // chunk, own[i:i + chunk])
+            part = own[i:i + chunk]
+            if part.any():  # counters take two bytes where that holds them
+                yield row(i // chunk, part.astype("<u2" if part.max() < 1 << 16 else "<i8"))
 
     def total(batches):
         at, sums = None, None
         for batch in batches:
             for key, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(part.as_buffer(), "<i8")
+                part = part.as_buffer()
+                part = np.frombuffer(part, "<u2" if len(part) == 2 * chunk else "<i8")
                 if key == at:
                     sums = sums + part
                     continue
                 if at is not None:
                     yield row(at, sums)
-                at, sums = key, part
+                at, sums = key, part.astype("<i8")
         if at is not None:
             yield row(at, sums)
 
@@ -202,19 +204,46 @@ def _set_table(docs: DataFrame, sketch: np.ndarray, params: JaccardParams) -> Da
 # -------------------------------------------------------------------------- lists and links
 
 
-def _shared_lists(classes: DataFrame) -> DataFrame:
+def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
     """``key, class, n, head, head_n`` of every key that two or more classes list.
 
-    Keys are counted with map-side combine; a long list is one side of an inner join, which Spark
-    splits where it is skewed.
+    Keys are counted with map-side combine, so that copies and long lists shrink before the
+    shuffle.  A bitmap of the repeated keys, of fixed size, then drops nearly all other entries
+    where they are read; what it lets through too much, the count of classes removes.
     """
-    listed = classes.select("class", F.col("n_shingles").cast("int").alias("n"),
-                            F.explode("keys").alias("key"))
-    heads = (listed.groupBy("key").agg(F.count("*").alias("members"),
-                                       F.min(F.struct("n", "class")).alias("head"))
+    bits = 1 << params.filter_bits
+    listed = table.where("class is not null").select(
+        "class", F.col("n_shingles").cast("int").alias("n"), "keys")
+    repeated = (listed.select(F.explode("keys").alias("key")).groupBy("key").count()
+                .where("count > 1"))
+    slot = F.col("key").bitwiseAND(F.lit(bits - 1))
+    words = (repeated.select(F.shiftright(slot, 6).alias("word"),
+                             F.expr("shiftleft(1L, cast(key & 63L as int))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits"))).toArrow()
+    filled = np.zeros(bits >> 6, np.int64)
+    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = table.sparkSession.sparkContext.broadcast(filled)
+
+    def likely(batches):
+        for batch in batches:
+            keys = batch.column(2)
+            key = keys.flatten().to_numpy()
+            at = key & np.int64(bits - 1)
+            keep = np.flatnonzero((shared.value[at >> 6] >> (key & np.int64(63))) & 1)
+            row = np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[keep]
+            if len(row):
+                row = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[keep]), batch.column(0).take(row), batch.column(1).take(row)],
+                    ["key", "class", "n"])
+
+    entries = written(listed.mapInArrow(likely, "key long, class long, n int").distinct(),
+                      "entries")
+    heads = (entries.groupBy("key").agg(F.count("*").alias("members"),
+                                        F.min(F.struct("n", "class")).alias("head"))
              .where("members > 1")
              .select("key", F.col("head.n").alias("head_n"), F.col("head.class").alias("head")))
-    return written(listed.join(heads, "key"), "lists")
+    return written(entries.join(heads, "key"), "lists")
 
 
 def _difference(a: str, b: str):
@@ -297,10 +326,12 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = count_sketch(docs.select("text"), params)
     table = written(_set_table(docs, sketch, params), "sets")
-    classes = written(table.where("class is not null").dropDuplicates(["class"]), "classes")
-    bitmaps = classes.select("class", F.col("n_shingles").alias("n"),
-                             *(f"b{i}" for i in range(BITMAP_WORDS)))
-    lists = _shared_lists(classes)
+    words = [f"b{i}" for i in range(BITMAP_WORDS)]
+    classes = written(table.where("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
+        *(F.first(w).alias(w) for w in words)), "classes")
+    bitmaps = classes.select("class", "n", *words)
+    lists = _shared_lists(table, params)
     links, joined = None, None
 
     def settle(found: DataFrame):

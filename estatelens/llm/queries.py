@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from estatelens.llm.bytepairs import token_counts
 from estatelens.llm.jaccard import jaccard_components
+from estatelens.llm.packing import pack_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +51,15 @@ select s.doc_id, len(s.s) as n_shingles, m.c as component_id
 from s join (select doc_id, min(c) as c from r group by doc_id) m using (doc_id)""")
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"))

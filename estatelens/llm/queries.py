@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from estatelens.llm.bytepairs import token_counts
+from estatelens.llm.chat import format_chats
 from estatelens.llm.jaccard import jaccard_components
+from estatelens.llm.kdtree import top_k
+from estatelens.llm.mixing import MixParams, mix_documents
+from estatelens.llm.multiindex import near_duplicates
 from estatelens.llm.packing import pack_documents
+from estatelens.llm.personal import personal_spans
+from estatelens.llm.toxicity import toxicity_scores
+from estatelens.llm.urls import RULES, SOFT, STRICT, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,15 +41,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-WORDS_SQL = f"""list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '')"""
+WORDS_SQL = f"""[x for x in regexp_split_to_array(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+') if x <> '']"""
 
 
 @query("op7_ngram_jaccard", f"""
 with recursive w as (select doc_id, {WORDS_SQL} as w from documents),
 s as (select doc_id, case
-        when len(w) >= 5 then list_distinct(list_transform(range(len(w) - 4),
-                                            i -> array_to_string(w[i + 1:i + 5], ' ')))
+        when len(w) >= 5 then list_distinct(
+            [array_to_string(w[i + 1:i + 5], ' ') for i in range(len(w) - 4)])
         when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from w),
 e as (select doc_id, len(s) as n, unnest(s) as g from s),
 l as (select a.doc_id as a, b.doc_id as b from e a join e b on a.g = b.g and a.doc_id <> b.doc_id
@@ -63,3 +71,96 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_embedding_near_dedup")
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_exact_top_k", """
+with v as (select vec_id, [floor(256 * x::double) for x in embedding] as q
+    from embeddings where vec_id is not null and len(embedding) > 0
+      and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
+    from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q))
+select * from (select query_id, row_number() over (partition by query_id
+    order by score desc, vec_id)::int as rank, vec_id, score from s) where rank <= 5""")
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def _alone(terms) -> str:
+    """Pattern of any of the terms where no letter or digit touches it."""
+    return "(^|[^a-z0-9])(" + "|".join(sorted(terms)) + ")([^a-z0-9]|$)"
+
+
+def _rule_sql(column: int) -> str:
+    arms = []
+    for rule, verdict in sorted(RULES, key=lambda r: -len(r[0])):
+        name, slash, start = rule.partition("/")
+        arms.append(f"when (host = '{name}' or host like '%.{name}') "
+                    f"and starts_with(path, '{slash + start}') then '{(rule, verdict)[column]}'")
+    return "case " + " ".join(arms) + " end"
+
+
+@query("op3_url_filters", f"""
+with a as (select page_id, translate(url, '{UPPER}', '{LOWER}') as low,
+    case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest
+    from pages),
+p as (select page_id, coalesce(low, '') as low, coalesce(translate(regexp_extract(rest,
+      '^[^/?#]*'), '{UPPER}', '{LOWER}'), '') as host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from a),
+c as (select *,
+    ({" + ".join(f"regexp_matches(low, '{_alone([t])}')::int" for t in STRICT)}) as n_strict,
+    ({" + ".join(f"{w} * regexp_matches(low, '{_alone([t])}')::int" for t, w in SOFT.items())})
+      as soft_weight from p)
+select page_id, host, path, {_rule_sql(0)} as rule, n_strict::int as n_strict,
+  soft_weight::int as soft_weight, coalesce({_rule_sql(1)},
+    case when n_strict > 0 or soft_weight >= 3 then 'block' else 'allow' end) as verdict
+from c""")
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op5_personal_data")
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op6_chat_formatting", """
+with t as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text)
+    as position from t),
+l as (select conv_id, count(*) as n_turns,
+    list(struct_pack(role := role, text := text) order by position) as turns from o group by 1),
+u as (select min(conv_id) as conv_id, n_turns, turns from l group by n_turns, turns),
+k as (select conv_id, n_turns from u a where not exists (select 1 from u b
+    where b.n_turns > a.n_turns and b.turns[1:a.n_turns] = a.turns))
+select conv_id, position, n_turns, concat('<|', role, '|>', chr(10), text, chr(10), '<|end|>',
+  chr(10)) as rendered from o join k using (conv_id)""")
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+#: Domains of the sources and target weights of the mixture.
+MIX = MixParams(
+    domains={"src0": "crawl", **{f"src{i}": "forum" for i in range(1, 7)},
+             **{f"src{i}": "books" for i in range(7, 13)},
+             **{f"src{i}": "reference" for i in range(13, 20)}},
+    weights={"domain": {"crawl": 0.35, "forum": 0.15, "books": 0.25, "reference": 0.25},
+             "lang": {"en": 0.6, "de": 0.15, "fr": 0.15, "es": 0.1}},
+    epochs=2)
+
+
+@query("op2_mixing_sources")
+def op2_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"), MIX).select(
+        "doc_id", F.col("_leaf.domain").alias("domain"), "lang", "source",
+        F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"))

@@ -15,6 +15,9 @@ SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Everything but ASCII letters and digits and bytes of other scripts.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -73,10 +76,14 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple]:
         first = stop
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Start and end byte of every word, and the first word of each row (one entry more)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               between: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
+    """Start and end byte of every word, and the first word of each row (one entry more).
+
+    ``between`` marks the bytes that part words.
+    """
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~between[data]
     step = np.diff(inside)
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     # a word never runs over the end of its row
@@ -90,15 +97,26 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each word, A-Z taken as a-z."""
-    up, down = _CACHE.upto(len(data) + 1)
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """Prefix sums from which the hash of any span of ``data`` follows, A-Z taken as a-z."""
+    up, _ = _CACHE.upto(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    return total
+
+
+def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span, from ``running_hash``."""
+    _, down = _CACHE.upto(len(total))
     value = (total[ends] - total[starts]) * down[starts]
     return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word, A-Z taken as a-z."""
+    return span_hashes(running_hash(data), starts, ends)
+
+
 _PLACES = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                     0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
 

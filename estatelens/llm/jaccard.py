@@ -108,9 +108,10 @@ def count_sketch(texts: DataFrame, params: JaccardParams) -> np.ndarray:
     schema = "chunk int, counts binary"
     parts = (texts.mapInArrow(count, schema).repartition("chunk")
              .sortWithinPartitions("chunk").mapInArrow(total, schema))
-    out = np.zeros(1 << bits, np.int64)
+    out = np.zeros(1 << bits, np.uint32)
     for part in parts.toLocalIterator():
-        out[part.chunk * chunk:(part.chunk + 1) * chunk] = np.frombuffer(part.counts, "<i8")
+        sums = np.minimum(np.frombuffer(part.counts, "<i8"), 0xFFFFFFFF)
+        out[part.chunk * chunk:(part.chunk + 1) * chunk] = sums
     return out
 
 
@@ -128,7 +129,7 @@ def light_boundary(sketch: np.ndarray, params: JaccardParams) -> int:
     list, or writes ``p (p + 1) / 2`` keys of which hardly any are shared.  ``extra`` is how many
     more occurrences than chance an element's bucket holds, averaged over all occurrences.
     """
-    total = int(sketch.sum())
+    total = int(sketch.sum(dtype=np.int64))
     if not total:
         return 0
     chance = total / len(sketch)
@@ -172,7 +173,9 @@ def set_class(own: np.ndarray) -> int:
 
 
 def _set_table(docs: DataFrame, sketch: np.ndarray, params: JaccardParams) -> DataFrame:
-    levels = np.floor(np.log2(sketch + 1)).astype(np.uint8)
+    levels = np.zeros(len(sketch), np.uint8)  # the number of binary digits of each counter
+    for bit in range(32):
+        levels += sketch >= 1 << bit
     light, shift = light_boundary(sketch, params), np.uint64(64 - params.sketch_bits)
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     size, percent = params.shingle, params.percent
@@ -204,6 +207,23 @@ def _set_table(docs: DataFrame, sketch: np.ndarray, params: JaccardParams) -> Da
 # -------------------------------------------------------------------------- lists and links
 
 
+def key_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bitmap of the low bits of 64-bit hashes: ``bits`` bits, however many keys there are."""
+    slot = F.col(column).bitwiseAND(F.lit(bits - 1))
+    words = (keys.select(F.shiftright(slot, 6).alias("word"), F.expr(
+        f"shiftleft(1L, cast({column} & 63L as int))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits"))).toArrow()
+    filled = np.zeros(bits >> 6, np.int64)
+    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return filled
+
+
+def passes(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are in the bitmap: all that were put in, and few others."""
+    at = hashes & np.int64(len(filled) * 64 - 1)
+    return ((filled[at >> 6] >> (hashes & np.int64(63))) & 1).astype(bool)
+
+
 def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
     """``key, class, n, head, head_n`` of every key that two or more classes list.
 
@@ -216,20 +236,13 @@ def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
         "class", F.col("n_shingles").cast("int").alias("n"), "keys")
     repeated = (listed.select(F.explode("keys").alias("key")).groupBy("key").count()
                 .where("count > 1"))
-    slot = F.col("key").bitwiseAND(F.lit(bits - 1))
-    words = (repeated.select(F.shiftright(slot, 6).alias("word"),
-                             F.expr("shiftleft(1L, cast(key & 63L as int))").alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bits"))).toArrow()
-    filled = np.zeros(bits >> 6, np.int64)
-    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = table.sparkSession.sparkContext.broadcast(filled)
+    shared = table.sparkSession.sparkContext.broadcast(key_filter(repeated, "key", bits))
 
     def likely(batches):
         for batch in batches:
             keys = batch.column(2)
             key = keys.flatten().to_numpy()
-            at = key & np.int64(bits - 1)
-            keep = np.flatnonzero((shared.value[at >> 6] >> (key & np.int64(63))) & 1)
+            keep = np.flatnonzero(passes(shared.value, key))
             row = np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[keep]
             if len(row):
                 row = pa.array(row)
@@ -271,8 +284,31 @@ def _likely(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
             .where(_possible("h", "m", percent)).select("p.hub", "p.member"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame,
+def _involved(lists: DataFrame, classes: DataFrame, docs: DataFrame,
               params: JaccardParams) -> DataFrame:
+    """The classes that stand in a list, with one text each.
+
+    Texts of other documents are dropped where they are read, by a bitmap of fixed size; what it
+    lets through too much, the join removes.
+    """
+    wanted = written(classes.join(lists.select("class").distinct(), "class"), "wanted")
+    hashed = wanted.select(F.xxhash64("doc_id").alias("key"))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        key_filter(hashed, "key", 1 << params.filter_bits))
+
+    def likely(batches):
+        for batch in batches:
+            out = batch.filter(pa.array(passes(shared.value, batch.column(0).to_numpy())))
+            if out.num_rows:
+                yield out.select(["doc_id", "text"])
+
+    texts = docs.where("doc_id is not null").select(
+        F.xxhash64("doc_id").alias("key"), "doc_id", "text").mapInArrow(
+        likely, "doc_id long, text string")
+    return written(wanted.join(texts, "doc_id"), "involved")
+
+
+def _verified(pairs: DataFrame, involved: DataFrame, params: JaccardParams) -> DataFrame:
     """The pairs whose whole texts are similar.
 
     Members of a hub are dealt to tasks in portions of about ``HUB_MEMBERS``, each with the hub's
@@ -285,8 +321,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame,
         .cast("int").alias("portion")), "pairs")
     wanted = dealt.select("hub", "portion", F.col("hub").alias("class"), F.lit(0).alias("role")) \
         .distinct().union(dealt.select("hub", "portion", "member", F.lit(1)))
-    keyed = (wanted.join(classes.select("class", "doc_id"), "class")
-             .join(docs.select("doc_id", "text"), "doc_id")
+    keyed = (wanted.join(involved.select("class", "text"), "class")
              .select("hub", "portion", "role", "class", "text"))
 
     def verify(batches):
@@ -330,8 +365,9 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
     classes = written(table.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
         *(F.first(w).alias(w) for w in words)), "classes")
-    bitmaps = classes.select("class", "n", *words)
     lists = _shared_lists(table, params)
+    involved = _involved(lists, classes, docs, params)
+    bitmaps = involved.select("class", "n", *words).dropDuplicates(["class"])
     links, joined = None, None
 
     def settle(found: DataFrame):
@@ -352,11 +388,11 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
                          & (F.col("head_n") * 100 >= F.col("n") * params.percent))
     one = headed.groupBy("class").agg(F.min(F.struct("head_n", "head")).alias("h")) \
         .select(F.col("h.head").alias("hub"), F.col("class").alias("member"))
-    settle(_verified(_likely(one, bitmaps, params.percent), classes, docs, params))
+    settle(_verified(_likely(one, bitmaps, params.percent), involved, params))
     every = headed.select(F.col("head").alias("hub"), F.col("class").alias("member")).distinct()
-    settle(_verified(_likely(apart(every), bitmaps, params.percent), classes, docs, params))
+    settle(_verified(_likely(apart(every), bitmaps, params.percent), involved, params))
 
-    settle(_verified(_rest(lists, joined, bitmaps, params.percent), classes, docs, params))
+    settle(_verified(_rest(lists, joined, bitmaps, params.percent), involved, params))
 
     named = (table.where("class is not null").select("class", "doc_id")
              .join(joined.withColumnRenamed("node", "class"), "class", "left")

@@ -208,8 +208,10 @@ def _decided(found: DataFrame, params: PersonalParams) -> DataFrame:
 
 
 def _joined(parts: list[tuple[str, Column]]) -> Column:
-    return F.array_join(F.concat(*[F.transform(spans, lambda s, k=kind: F.concat_ws(
-        ":", F.lit(k), s["start"], s["end"])) for kind, spans in parts]), ",")
+    def named(kind: str):
+        return lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"])
+
+    return F.array_join(F.concat(*[F.transform(spans, named(kind)) for kind, spans in parts]), ",")
 
 
 def personal_spans(docs: DataFrame, params: PersonalParams = PersonalParams()) -> DataFrame:
@@ -237,10 +239,13 @@ def redact_personal(docs: DataFrame, params: PersonalParams = PersonalParams())
     replaced and the others with it.  A text without spans stays as it is, NULL included.
     """
     found = _decided(written(with_spans(docs, docs.columns, params), "spans"), params)
-    every = F.array_sort(F.concat(*[F.transform(f"_{k}", lambda s, k=k: F.struct(
-        s["start"].alias("start"), (-s["end"]).alias("end"), F.lit(k.upper()).alias("kind")))
-        for k in KINDS], F.transform("_added", lambda s: F.struct(
-            s["start"].alias("start"), (-s["end"]).alias("end"), F.lit("OTHER").alias("kind")))))
+
+    def place(kind: str):
+        return lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"),
+                                  F.lit(kind.upper()).alias("kind"))
+
+    every = F.array_sort(F.concat(*[F.transform(f"_{k}", place(k)) for k in KINDS],
+                                  F.transform("_added", place("other"))))
 
     def step(state, s):
         start, end = s["start"], -s["end"]

@@ -405,6 +405,21 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
                     .otherwise(F.col("component_id")).alias("component_id")))
 
 
+def drop_near_copies(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest doc_id.
+
+    All columns are kept.  Texts without words are never copies of anything.  Repeated rows of a
+    kept document are one row.  Rows without doc_id cannot be named, so they stay.
+    """
+    placed = jaccard_components(docs, params).groupBy("doc_id").agg(
+        F.count("*").alias("_rows"), F.max(F.col("component_id") == F.col("doc_id"))
+        .alias("_keep")).where("_keep").select(F.col("doc_id").alias("_kept"), "_rows")
+    kept = docs.join(placed, docs.doc_id.cast("long") == F.col("_kept"))
+    single = kept.where("_rows = 1").select(*docs.columns)
+    return (single.union(kept.where("_rows > 1").select(*docs.columns).dropDuplicates())
+            .union(docs.where("doc_id is null")))
+
+
 def _rest(lists: DataFrame, joined: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """All possible pairs of one list that are in different components so far."""
     placed = written(

@@ -126,32 +126,32 @@ def mix_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame
         plan.append((r._leaf, int(whole), int(own - whole * n) if n else 0))
     if not plan:
         return named.withColumn("_epoch", F.lit(0))
-    schema = "_leaf struct<domain:string,lang:string,source:string>, whole int, rest long"
+    schema = "_leaf struct<domain:string,lang:string,source:string>, _whole int, _rest long"
     # one row a leaf, and the number of leaves is bounded
     plan = F.broadcast(docs.sparkSession.createDataFrame(plan, schema))
     largest = max(r.rows for r in stats)
     bits = max(4, min(24, (largest // params.bucket_rows).bit_length()))
     placed = named.join(plan, "_leaf").withColumn(
-        "_hash", F.xxhash64(F.lit(params.seed), "whole", "doc_id", "text"))
+        "_hash", F.xxhash64(F.lit(params.seed), "_whole", "doc_id", "text"))
     placed = placed.withColumn("_bucket", _bucket(F.col("_hash"), bits))
 
-    sums = placed.where("rest > 0").groupBy("_leaf", "_bucket").agg(
-        F.sum("_tokens").alias("tokens"), F.first("rest").alias("rest"))
+    sums = placed.where("_rest > 0").groupBy("_leaf", "_bucket").agg(
+        F.sum("_tokens").alias("tokens"), F.first("_rest").alias("_rest"))
     upto = F.sum("tokens").over(Window.partitionBy("_leaf").orderBy("_bucket"))
     # the bucket in which a leaf's budget ends, or none
-    ends = (sums.withColumn("upto", upto).where("upto > rest")
+    ends = (sums.withColumn("upto", upto).where("upto > _rest")
             .groupBy("_leaf").agg(F.min(F.struct("_bucket", (F.col("upto") - F.col("tokens"))
                                                  .alias("before"))).alias("end")))
-    ends = F.broadcast(ends.select("_leaf", F.col("end._bucket").alias("last"),
-                                   F.col("end.before").alias("before")))
+    ends = F.broadcast(ends.select("_leaf", F.col("end._bucket").alias("_last"),
+                                   F.col("end.before").alias("_before")))
     placed = placed.join(ends, "_leaf", "left")
     inside = Window.partitionBy("_leaf").orderBy("_hash", "doc_id", "text") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (placed.where("rest > 0 and _bucket = last")
-            .withColumn("_upto", F.sum("_tokens").over(inside) + F.col("before"))
-            .where("_upto <= rest").select(*named.columns, F.col("whole").alias("_epoch")))
-    early = (placed.where("rest > 0 and (last is null or _bucket < last)")
-             .select(*named.columns, F.col("whole").alias("_epoch")))
-    full = (placed.where("whole > 0").select(
-        *named.columns, F.explode(F.expr("sequence(0, whole - 1)")).alias("_epoch")))
+    last = (placed.where("_rest > 0 and _bucket = _last")
+            .withColumn("_upto", F.sum("_tokens").over(inside) + F.col("_before"))
+            .where("_upto <= _rest").select(*named.columns, F.col("_whole").alias("_epoch")))
+    early = (placed.where("_rest > 0 and (_last is null or _bucket < _last)")
+             .select(*named.columns, F.col("_whole").alias("_epoch")))
+    full = (placed.where("_whole > 0").select(
+        *named.columns, F.explode(F.expr("sequence(0, _whole - 1)")).alias("_epoch")))
     return full.union(early).union(last)

@@ -11,8 +11,9 @@ The common order puts rare shingles first.  How often a shingle occurs is read f
 sketch of all documents: a fixed number of counters, so it may be sent to every task; collisions
 only make the order less good, never the join wrong.
 
-Lists are turned into links in rounds: each member with one head of its lists, then with every
-head, and last all pairs that are still in different components.  A parity bitmap of each set
+Lists are turned into links in rounds: each member with one head of its lists, then those outside
+a list's largest component with random members of it, and last all pairs that are still in
+different components.  A parity bitmap of each set
 bounds the difference from below and drops pairs without their texts; all others are verified on
 the whole texts.  So components are exact without listing all pairs of a group of copies.
 """
@@ -37,6 +38,7 @@ from estatelens.llm.textbytes import (combine, shingle_hashes, text_slices, word
 SKETCH_CHUNK = 1 << 16
 BITMAP_WORDS = 16
 HUB_MEMBERS = 1000
+DRAWS = 4
 
 
 @dataclass(frozen=True)
@@ -173,9 +175,9 @@ def set_class(own: np.ndarray) -> int:
 
 
 def _set_table(docs: DataFrame, sketch: np.ndarray, params: JaccardParams) -> DataFrame:
-    levels = np.zeros(len(sketch), np.uint8)  # the number of binary digits of each counter
-    for bit in range(32):
-        levels += sketch >= 1 << bit
+    # eight steps for each doubling of a counter fit a byte and keep rare from less rare
+    steps = np.ceil(2.0 ** (np.arange(1, 256) / 8)).astype(np.int64)
+    levels = np.searchsorted(steps, sketch, side="right").astype(np.uint8)
     light, shift = light_boundary(sketch, params), np.uint64(64 - params.sketch_bits)
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     size, percent = params.shingle, params.percent
@@ -225,7 +227,10 @@ def passes(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
-    """``key, class, n, head, head_n`` of every key that two or more classes list.
+    """``key, class, n, head, head_n, head_lists`` of every key that two or more classes list.
+
+    The head of a list is its member that stands in most lists: of a group of near copies the one
+    least changed, with the best chance to be similar to all others.
 
     Keys are counted with map-side combine, so that copies and long lists shrink before the
     shuffle.  A bitmap of the repeated keys, of fixed size, then drops nearly all other entries
@@ -252,10 +257,12 @@ def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
 
     entries = written(listed.mapInArrow(likely, "key long, class long, n int").distinct(),
                       "entries")
-    heads = (entries.groupBy("key").agg(F.count("*").alias("members"),
-                                        F.min(F.struct("n", "class")).alias("head"))
-             .where("members > 1")
-             .select("key", F.col("head.n").alias("head_n"), F.col("head.class").alias("head")))
+    shared = entries.groupBy("key").count().where("count > 1").select("key")
+    entries = written(entries.join(shared, "key"), "shared")
+    weighed = entries.join(entries.groupBy("class").agg(F.count("*").alias("lists")), "class")
+    heads = (weighed.groupBy("key").agg(F.max(F.struct("lists", "class", "n")).alias("head"))
+             .select("key", F.col("head.n").alias("head_n"), F.col("head.class").alias("head"),
+                     F.col("head.lists").alias("head_lists")))
     return written(entries.join(heads, "key"), "lists")
 
 
@@ -348,6 +355,41 @@ def _verified(pairs: DataFrame, involved: DataFrame, params: JaccardParams) -> D
             .mapInArrow(verify, "hub long, member long"))
 
 
+def _placed(lists: DataFrame, joined: DataFrame) -> DataFrame:
+    """``key, class, component`` of the lists that hold more than one component so far."""
+    placed = lists.select("key", "class").join(
+        joined.withColumnRenamed("node", "class"), "class", "left") \
+        .select("key", "class", F.coalesce("component", "class").alias("component"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"),
+                                      F.max("component").alias("high")).where("low <> high")
+    return written(placed.join(mixed.select("key"), "key"), "placed")
+
+
+def _stragglers(placed: DataFrame) -> DataFrame:
+    """Pairs of a member outside its list's largest component and random members of that.
+
+    Each list draws for itself, so a member of many lists meets many others of the group.
+    """
+    groups = placed.groupBy("key", "component").agg(
+        F.count("*").alias("members"),
+        F.array(*[F.min_by("class", F.xxhash64(F.lit(i), "key", "class"))
+                  for i in range(DRAWS)]).alias("drawn"))
+    main = groups.groupBy("key").agg(F.max(F.struct("members", "component", "drawn")).alias("m")) \
+        .select("key", F.col("m.component").alias("main"), "m.drawn")
+    return (placed.join(main, "key").where("component <> main")
+            .select(F.explode("drawn").alias("hub"), F.col("class").alias("member")).distinct())
+
+
+def _rest(placed: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """All possible pairs of one list that are in different components so far."""
+    sides = written(placed.join(bitmaps, "class"), "sides")
+    return (sides.alias("a").join(
+        sides.alias("b"), (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.class") < F.col("b.class"))
+        & (F.col("a.component") != F.col("b.component")) & _possible("a", "b", percent))
+        .select(F.col("a.class").alias("hub"), F.col("b.class").alias("member")).distinct())
+
+
 def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text, ...)``.
 
@@ -368,31 +410,24 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
     lists = _shared_lists(table, params)
     involved = _involved(lists, classes, docs, params)
     bitmaps = involved.select("class", "n", *words).dropDuplicates(["class"])
-    links, joined = None, None
-
-    def settle(found: DataFrame):
-        nonlocal links, joined
-        links = found if links is None else joined.select(
-            F.col("node").alias("hub"), F.col("component").alias("member")).union(found)
-        joined = written(components(links, "hub", "member"), "joined")
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs of classes that are in different components so far."""
-        one = joined.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
-        two = joined.select(F.col("node").alias("member"), F.col("component").alias("of_member"))
-        return (pairs.join(one, "hub", "left").join(two, "member", "left")
-                .where(F.coalesce("of_hub", "hub") != F.coalesce("of_member", "member"))
-                .select("hub", "member"))
 
     headed = lists.where((F.col("head") != F.col("class"))
                          & (F.col("head_n") * 100 >= F.col("n") * params.percent))
-    one = headed.groupBy("class").agg(F.min(F.struct("head_n", "head")).alias("h")) \
+    pairs = headed.groupBy("class").agg(F.max(F.struct("head_lists", "head")).alias("h")) \
         .select(F.col("h.head").alias("hub"), F.col("class").alias("member"))
-    settle(_verified(_likely(one, bitmaps, params.percent), involved, params))
-    every = headed.select(F.col("head").alias("hub"), F.col("class").alias("member")).distinct()
-    settle(_verified(_likely(apart(every), bitmaps, params.percent), involved, params))
-
-    settle(_verified(_rest(lists, joined, bitmaps, params.percent), involved, params))
+    joined = None
+    for step in ("heads", "stragglers", "rest"):
+        if step == "stragglers":
+            pairs = _stragglers(_placed(lists, joined))
+        elif step == "rest":
+            pairs = _rest(_placed(lists, joined), bitmaps, params.percent)
+        if step != "rest":
+            pairs = _likely(pairs, bitmaps, params.percent)
+        found = _verified(pairs, involved, params)
+        if joined is not None:
+            found = found.union(joined.select(F.col("node").alias("hub"),
+                                              F.col("component").alias("member")))
+        joined = written(components(found, "hub", "member"), "joined")
 
     named = (table.where("class is not null").select("class", "doc_id")
              .join(joined.withColumnRenamed("node", "class"), "class", "left")
@@ -418,19 +453,3 @@ def drop_near_copies(docs: DataFrame, params: JaccardParams = JaccardParams()) -
     single = kept.where("_rows = 1").select(*docs.columns)
     return (single.union(kept.where("_rows > 1").select(*docs.columns).dropDuplicates())
             .union(docs.where("doc_id is null")))
-
-
-def _rest(lists: DataFrame, joined: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
-    """All possible pairs of one list that are in different components so far."""
-    placed = written(
-        lists.select("key", "class").join(
-            joined.withColumnRenamed("node", "class"), "class", "left")
-        .select("key", "class", F.coalesce("component", "class").alias("component")), "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"),
-                                      F.max("component").alias("high")).where("low <> high")
-    sides = written(placed.join(mixed.select("key"), "key").join(bitmaps, "class"), "sides")
-    return (sides.alias("a").join(
-        sides.alias("b"), (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.class") < F.col("b.class"))
-        & (F.col("a.component") != F.col("b.component")) & _possible("a", "b", percent))
-        .select(F.col("a.class").alias("hub"), F.col("b.class").alias("member")).distinct())

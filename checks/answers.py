@@ -92,7 +92,7 @@ def worklist(s: Source) -> DataFrame:
 
 
 def records(s: Source) -> DataFrame:
-    return extract_company(worklist(s), report_texts(s), replies(s), SALT)
+    return extract_company(worklist(s), report_texts(s), replies(s), salt=SALT)
 
 
 # what the oracle knows per case: whether the answer reads, and which sections exist

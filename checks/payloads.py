@@ -38,11 +38,11 @@ SINCE = datetime(1995, 6, 1)
     select kenmerk, scraped_at, concat('r', cast(o_orderkey as varchar)) as record
     from ({raw(D)}) r where status = 'ok' and o_custkey % 9 <> 0
       and scraped_at > timestamp '1995-06-01 00:00:00'
-    order by scraped_at, kenmerk limit 20000)""")
+)""")
 def _(s: Source) -> DataFrame:
     log = s.sql(f"""select kenmerk, scraped_at, status, case when o_custkey % 9 = 0 then ''
         else concat('r', cast(o_orderkey as string)) end as record from ({raw(S)}) r""")
-    out = rawlog.raw_ok(log, SINCE, rawlog.MAX_BATCH)
+    out = rawlog.raw_ok(log, SINCE)
     return out.withColumn("scraped_at", F.col("scraped_at").cast("string"))
 
 
@@ -53,20 +53,33 @@ _AFTER = ("1997-03-05 00:00:00", "K3000")
     select kenmerk, scraped_at from (select kenmerk, cast(date_trunc('day', scraped_at) as timestamp)
       as scraped_at from ({raw(D)}) r where status = 'ok')
     where scraped_at > timestamp '{_AFTER[0]}'
-      or (scraped_at = timestamp '{_AFTER[0]}' and kenmerk > '{_AFTER[1]}')
-    order by scraped_at, kenmerk limit 20000)""")
+      or (scraped_at = timestamp '{_AFTER[0]}' and kenmerk > '{_AFTER[1]}'))""")
 def _(s: Source) -> DataFrame:
     """Many rows share a timestamp here: the id part of the checkpoint decides among them."""
-    log = s.sql(f"""select kenmerk, cast(cast(scraped_at as date) as timestamp_ntz) as scraped_at,
+    out = rawlog.incremental_batch(_daily(s), (datetime.fromisoformat(_AFTER[0]), _AFTER[1]))
+    return out.select("kenmerk", F.col("scraped_at").cast("string").alias("scraped_at"))
+
+
+def _daily(s: Source) -> DataFrame:
+    return s.sql(f"""select kenmerk, cast(cast(scraped_at as date) as timestamp_ntz) as scraped_at,
         status, 'r' as record from ({raw(S)}) r""")
-    out = rawlog.incremental_batch(log, (datetime.fromisoformat(_AFTER[0]), _AFTER[1]))
+
+
+@query("oldest_batch", f"""select kenmerk, cast(scraped_at as varchar) as scraped_at from (
+    select kenmerk, scraped_at from (select kenmerk, cast(date_trunc('day', scraped_at) as timestamp)
+      as scraped_at from ({raw(D)}) r where status = 'ok')
+    where scraped_at > timestamp '{_AFTER[0]}'
+      or (scraped_at = timestamp '{_AFTER[0]}' and kenmerk > '{_AFTER[1]}')
+    order by scraped_at, kenmerk limit 300)""")
+def _(s: Source) -> DataFrame:
+    """A batch of the oldest attempts, fewer than there are."""
+    out = rawlog.incremental_batch(_daily(s), (datetime.fromisoformat(_AFTER[0]), _AFTER[1]), 300)
     return out.select("kenmerk", F.col("scraped_at").cast("string").alias("scraped_at"))
 
 
 @query("next_checkpoint", f"""select kenmerk, cast(scraped_at as varchar) as scraped_at from (
     select kenmerk, scraped_at from ({raw(D)}) r where status = 'ok'
-      and scraped_at > timestamp '1995-06-01 00:00:00'
-    order by scraped_at, kenmerk limit 20000) order by 2 desc, 1 desc limit 1""")
+      and scraped_at > timestamp '1995-06-01 00:00:00') order by 2 desc, 1 desc limit 1""")
 def _(s: Source) -> DataFrame:
     log = s.sql(f"select kenmerk, scraped_at, status, 'r' as record from ({raw(S)}) r")
     out = rawlog.next_checkpoint(rawlog.incremental_batch(log, (SINCE, "~")))
@@ -130,11 +143,6 @@ def records(s: Source) -> DataFrame:
                          record.alias("record"), "o_orderkey")
 
 
-def by_year(log: DataFrame) -> DataFrame:
-    """Attempts dated to the start of their year: few month folders, each with many rows."""
-    return log.withColumn("scraped_at", F.date_trunc("year", "scraped_at").cast("timestamp_ntz"))
-
-
 _OK = f"""select r.*, c_name, c_nationkey, {ENTITY} as kind, {court(D)} as court,
       case when c_nationkey % 3 = 0 then concat('R', cast(o_orderkey as varchar)) else kenmerk end
         as own_id
@@ -165,7 +173,7 @@ def _(s: Source) -> DataFrame:
                 ("own_id", "string"), ("debtor", "string"), ("n_pubs", "bigint"))]))
 
 
-@query("fanout_cases", f"""select own_id as kenmerk, kenmerk as task_kenmerk,
+CASE_ROWS = f"""select own_id as kenmerk, kenmerk as task_kenmerk,
       concat('F.01/01/', cast(o_custkey as varchar)) as insolventienummer,
       '' as toezichtzaaknummer, kind as type, court,
       case when c_nationkey % 2 = 0 then 'mr. Bos' else '' end as judge,
@@ -175,7 +183,10 @@ def _(s: Source) -> DataFrame:
            when c_nationkey % 4 <> 0 then concat('Woon', cast(c_nationkey as varchar)) end as city,
       'mr. A|' as curator_names, coalesce(n_pubs, 0) as publication_count,
       coalesce(n_docs, 0) as document_count, cast(scraped_at as varchar) as scraped_at
-    from ({_GOOD}) k left join ({_LINES}) n on o_orderkey = l_orderkey""")
+    from ({_GOOD}) k left join ({_LINES}) n on o_orderkey = l_orderkey"""
+
+
+@query("fanout_cases", CASE_ROWS)
 def _(s: Source) -> DataFrame:
     out = fanout.to_cases(_good(s))
     return out.withColumns({
@@ -200,45 +211,80 @@ _LINE_ID = ("concat(cast(l_orderkey as varchar), '.', cast(l_linenumber as varch
             "cast(l_partkey as varchar), '.', cast(l_suppkey as varchar))")
 
 
-@query("fanout_publications", f"""select own_id as kenmerk, {_LINE_ID} as publicatie_kenmerk,
+PUBLICATION_ROWS = f"""select own_id as kenmerk, {_LINE_ID} as publicatie_kenmerk,
       case when l_partkey % 10 <> 0 then cast(cast(l_shipdate as date) as varchar) end
         as publicatie_datum,
       concat('regel ', cast(l_partkey as varchar)) as description, 'einde' as event_type,
       case when l_suppkey % 2 = 0 then 'verzet' end as event_subtype,
       cast(cast(l_shipdate as date) as varchar) as event_date,
       'faillissement' as insolvency_type, cast(scraped_at as varchar) as scraped_at
-    from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey""")
+    from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey"""
+
+
+@query("fanout_publications", PUBLICATION_ROWS)
 def _(s: Source) -> DataFrame:
     out = fanout.to_publications(_good(s)).drop("task_kenmerk")
     return out.withColumns({c: F.col(c).cast("string") for c in (
         "publicatie_datum", "event_date", "scraped_at")})
 
 
-@query("fanout_documents", f"""select own_id as kenmerk, {_LINE_ID} as document_kenmerk,
+DOCUMENT_ROWS = f"""select own_id as kenmerk, {_LINE_ID} as document_kenmerk,
       case when l_partkey % 20 <> 0 then cast(cast(l_shipdate as date) as varchar) end
         as document_date, 'Verslag' as document_type, cast(null as varchar) as pdf_path,
       cast(scraped_at as varchar) as scraped_at
-    from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey where l_returnflag <> 'N'""")
+    from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey where l_returnflag <> 'N'"""
+
+
+@query("fanout_documents", DOCUMENT_ROWS)
 def _(s: Source) -> DataFrame:
     out = fanout.to_documents(_good(s)).drop("task_kenmerk")
     return out.withColumns({c: F.col(c).cast("string") for c in ("document_date", "scraped_at")})
 
 
-@query("sink_fanout", f"""select 'processed_cases' as table_name, count(*) as n,
-      count(distinct own_id) as n_cases from ({_GOOD})
-    union all select 'processed_publications', count(*), count(distinct own_id)
-      from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey
-    union all select 'processed_documents', count(*), count(distinct own_id)
-      from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey where l_returnflag <> 'N'""")
+_DETAIL = {
+    "processed_cases": ("task_kenmerk", (
+        "insolventienummer", "toezichtzaaknummer", "type", "court", "judge", "is_anonymized",
+        "debtor_name", "kvk_nummer", "city", "curator_names", "publication_count",
+        "document_count")),
+    "processed_publications": ("publicatie_kenmerk", (
+        "publicatie_datum", "description", "event_type", "event_subtype", "event_date",
+        "insolvency_type")),
+    "processed_documents": ("document_kenmerk", ("document_date", "document_type", "pdf_path")),
+}
+
+FANOUT_ROWS = " union all ".join(
+    f"""select '{name}' as table_name, kenmerk, {_DETAIL[name][0]} as item,
+      concat_ws('~', {", ".join(f"cast({c} as varchar)" for c in _DETAIL[name][1])}) as detail,
+      scraped_at, substr(scraped_at, 1, 7) as scraped_month from ({rows}) t{i}"""
+    for i, (name, rows) in enumerate(zip(
+        _DETAIL, (CASE_ROWS, PUBLICATION_ROWS, DOCUMENT_ROWS))))
+BAD_ROWS = f"""select kenmerk, cast(scraped_at as varchar) as scraped_at,
+    case when o_orderkey % 97 = 0 then '{{{{"kenmerk": "half' else 'geen json' end as record
+  from ({_OK}) b where o_orderkey % 97 <= 1"""
+
+
+def fanout_content(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of the three output tables, in the columns of ``FANOUT_ROWS``."""
+    parts = []
+    for name, rows in tables.items():
+        item, columns = _DETAIL[name]
+        if "curator_names" in columns:
+            rows = rows.withColumn("curator_names", F.array_join("curator_names", "|"))
+        parts.append(rows.select(
+            F.lit(name).alias("table_name"), "kenmerk", F.col(item).alias("item"),
+            F.concat_ws("~", *[F.col(c).cast("string") for c in columns]).alias("detail"),
+            F.col("scraped_at").cast("string").alias("scraped_at"),
+            F.col("scraped_month").cast("string").alias("scraped_month")))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("sink_fanout", FANOUT_ROWS)
 def _(s: Source) -> DataFrame:
     """Writes one batch twice, as a replay would: the tables must not change."""
     out = work_dir(s.spark, "fanout")
     for _ in range(2):
-        write_fanout(by_year(records(s)), out, batch_id=7)
-    counts = [s.spark.read.parquet(f"{out}/{name}").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("kenmerk").alias("n_cases")).select(
-        F.lit(name).alias("table_name"), "n", "n_cases") for name in OUTPUTS]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+        write_fanout(records(s), out, run_id="a", batch_id=7)
+    return fanout_content({name: s.spark.read.parquet(f"{out}/{name}") for name in OUTPUTS})
 
 
 # --------------------------------------------------------------------------------- search

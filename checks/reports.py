@@ -236,13 +236,13 @@ def _(s: Source) -> DataFrame:
         when 0 then concat('8. Crediteuren ', {_FILLER}, '8.7 Wijze\n', c_name, ' 8.7 herhaald')
         when 1 then concat('8. Crediteuren ', {_FILLER})
         else concat('8. Crediteuren 8.7 Wijze ', {_FILLER}) end as c from {{customer}}""")
-    return rows.select("c_custkey", sections.settlement_tail(F.col("c")).alias("tail"))
+    return rows.select("c_custkey", sections.settlement_tail(F.col("c"), 4000).alias("tail"))
 
 
 @query("governance_tail", """select doc_id, case when length(text) > 4400 then length(text) - 4400
       else 0 end as dropped, right(text, 4400) as tail from {documents}""")
 def _(s: Source) -> DataFrame:
-    tail = sections.governance_tail(F.col("text"))
+    tail = sections.governance_tail(F.col("text"), 4400)
     return s.table("documents").select(
         "doc_id", (F.length("text") - F.length(tail)).cast("bigint").alias("dropped"),
         tail.alias("tail"))

@@ -6,34 +6,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.base import Source, query
-from checks.payloads import _GOOD, by_year, records
+from checks.payloads import BAD_ROWS, FANOUT_ROWS, fanout_content, records
 from estatelens.session import work_dir
 from estatelens.streaming.jobs import (
-    OUTPUTS, StreamSpec, read_raw_stream, stream_fanout, stream_tasks_filter,
+    BAD_RECORDS, OUTPUTS, StreamSpec, compact_months, fanout_rows, read_raw_stream,
+    stream_fanout, stream_tasks_filter,
 )
 
 
-@query("stream_fanout", f"""select 'processed_cases' as table_name, year(scraped_at) as year, count(*) as n,
-      count(distinct own_id) as n_cases from ({_GOOD}) group by 2
-    union all select 'processed_publications', year(scraped_at), count(*), count(distinct own_id)
-      from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey group by 2
-    union all select 'processed_documents', year(scraped_at), count(*), count(distinct own_id)
-      from ({_GOOD}) k join {{lineitem}} on o_orderkey = l_orderkey where l_returnflag <> 'N' group by 2""")
-def _(s: Source) -> DataFrame:
-    """The attempt log arrives in several files and micro-batches; the tables must equal those of
-    one batch."""
+def _streamed(s: Source, parts: int, checkpoints: int) -> str:
+    """Streams the attempt log, which arrives in ``parts`` portions of several files; each portion
+    is met by a stream with the next of so many checkpoints."""
     folder = work_dir(s.spark, "stream")
-    log = by_year(records(s)).select(
+    log = records(s).select(
         "kenmerk", F.col("scraped_at").cast("timestamp").alias("scraped_at"), "status",
         "entity_type", F.lit("").alias("error"), "record", F.lit("").alias("git_sha"))
-    log.repartition(4, "kenmerk").write.parquet(f"{folder}/raw")
-    stream = read_raw_stream(s.spark, f"{folder}/raw", max_files=2)
-    stream_fanout(stream, StreamSpec(f"{folder}/out", f"{folder}/checkpoint")).awaitTermination()
-    counts = [s.spark.read.parquet(f"{folder}/out/{name}").groupBy(
-        F.year("scraped_at").cast("bigint").alias("year")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("kenmerk").alias("n_cases")).select(
-        F.lit(name).alias("table_name"), "year", "n", "n_cases") for name in OUTPUTS]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    for part in range(parts):
+        own = log.where(F.pmod(F.xxhash64("kenmerk"), F.lit(parts)) == part)
+        own.repartition(3, "kenmerk").write.mode("append").parquet(f"{folder}/raw")
+        stream = read_raw_stream(s.spark, f"{folder}/raw", max_files=2)
+        spec = StreamSpec(f"{folder}/out", f"{folder}/checkpoint{part % checkpoints}")
+        stream_fanout(stream, spec).awaitTermination()
+    return f"{folder}/out"
+
+
+@query("stream_fanout", FANOUT_ROWS)
+def _(s: Source) -> DataFrame:
+    """Several micro-batches and a restart from the same checkpoint: the rows of one batch."""
+    out = _streamed(s, 2, 1)
+    return fanout_content({name: s.spark.read.parquet(f"{out}/{name}") for name in OUTPUTS})
+
+
+@query("stream_restart", FANOUT_ROWS)
+def _(s: Source) -> DataFrame:
+    """A new checkpoint counts batches from 0 and reads old files again: nothing may vanish, and
+    rows written twice are read once."""
+    out = _streamed(s, 2, 2)
+    return fanout_content({name: fanout_rows(s.spark, out, name) for name in OUTPUTS})
+
+
+@query("stream_malformed", BAD_ROWS)
+def _(s: Source) -> DataFrame:
+    """Records that are no JSON object are kept as they came."""
+    out = _streamed(s, 1, 1)
+    return s.spark.read.parquet(f"{out}/{BAD_RECORDS}").select(
+        "kenmerk", F.col("scraped_at").cast("string").alias("scraped_at"), "record")
+
+
+@query("compact_months", f"""select * from ({FANOUT_ROWS}) f where scraped_month < '1997-01'""")
+def _(s: Source) -> DataFrame:
+    """Closed months rewritten, twice: the same rows in month folders of their own."""
+    out = _streamed(s, 2, 1)
+    targets = {}
+    for name in OUTPUTS:
+        path = work_dir(s.spark, f"compact-{name}")
+        for _ in range(2):
+            compact_months(s.spark, out, name, path, "1997-01")
+        targets[name] = s.spark.read.parquet(path)
+    return fanout_content(targets)
 
 
 @query("stream_tasks_filter", """select concat('T', cast(event_id as varchar)) as kenmerk,

@@ -59,13 +59,18 @@ def pick_section(key: str, *sections: Column) -> Column:
     return F.coalesce(*texts, F.lit(""))
 
 
-def settlement_tail(creditors: Column) -> Column:
-    """Text from subsection 8.7 on, or the end of the section when there is none."""
+def settlement_tail(creditors: Column, length: int | None = None) -> Column:
+    """Text from subsection 8.7 on, or the whole section when there is none; ``length`` keeps so
+    many characters of the former's beginning or the latter's end."""
     start = F.instr(creditors, "8.7")
-    return F.when(start > 0, F.substring(creditors, start, F.lit(4000))).otherwise(
-        F.right(creditors, F.lit(4000)))
+    if length is None:
+        return F.when(start > 0, F.substring(creditors, start, F.length(creditors))) \
+            .otherwise(creditors)
+    return F.when(start > 0, F.substring(creditors, start, F.lit(length))).otherwise(
+        F.right(creditors, F.lit(length)))
 
 
-def governance_tail(section: Column) -> Column:
-    """The newest entries of the cumulative governance section stand at its end."""
-    return F.right(section, F.lit(4400))
+def governance_tail(section: Column, length: int | None = None) -> Column:
+    """The governance section; its newest entries stand at its end, of which ``length`` keeps so
+    many characters."""
+    return section if length is None else F.right(section, F.lit(length))

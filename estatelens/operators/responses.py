@@ -23,8 +23,6 @@ from estatelens.vocab import (
     PREMISES_FLAGS, RELATIONS, SETTLEMENTS,
 )
 
-CLAMP = 4500
-RETRY_CLAMP = 1800
 FIELDS = ["sector", "oorzaak", "doorstart", "koopsom", "domeinnamen", "directie", "bank",
           "rechtmatigheid", "vastgoed", "afwikkeling"]
 RELATION = "struct<relatie:string,company_name:string,detail:string>"
@@ -51,20 +49,27 @@ def with_section_texts(cases: DataFrame) -> DataFrame:
     return cases.withColumn("text", F.struct(*[c.alias(k) for k, c in texts.items()]))
 
 
-def prompt_requests(cases: DataFrame, clamp: int = CLAMP,
-                    restarts: DataFrame | None = None) -> DataFrame:
-    """(kenmerk, field, text) of every question whose text is not blank.
+def prompt_requests(cases: DataFrame, clamp: int | None = None,
+                    restarts: DataFrame | None = None, section_clamp: int | None = None,
+                    attempt: int = 1) -> DataFrame:
+    """(kenmerk, field, attempt, text) of every question whose text is not blank.
 
     ``cases`` carries the struct ``text``.  The price question is asked only for ``restarts``,
-    the cases whose restart answer was true.  ``clamp`` is the scorer's context size.
+    the cases whose restart answer was true.  Texts are whole; for a scorer with a bounded
+    context ``clamp`` cuts each to so many characters, and ``section_clamp`` the two premises
+    sections before they are joined.  A question asked again, shorter, has a higher ``attempt``.
     """
     t = F.col("text")
+
+    def cut(text: Column, size: int | None) -> Column:
+        return text if size is None else F.substring(text, 1, size)
+
     asked = {
         "sector": t["activiteiten"], "oorzaak": t["oorzaak"], "doorstart": t["doorstart"],
         "domeinnamen": t["andere_activa"], "directie": t["inventarisatie"],
         "bank": t["zekerheden"], "rechtmatigheid": governance_tail(t["rechtmatigheid"]),
-        "vastgoed": F.concat(F.substring(t["activa"], 1, 3000), F.lit("\n---\n"),
-                             F.substring(t["inventarisatie"], 1, 3000)),
+        "vastgoed": F.concat(cut(t["activa"], section_clamp), F.lit("\n---\n"),
+                             cut(t["inventarisatie"], section_clamp)),
         "afwikkeling": settlement_tail(t["crediteuren"]),
     }
     rows = cases.select("kenmerk", F.explode(F.array(*[
@@ -74,8 +79,8 @@ def prompt_requests(cases: DataFrame, clamp: int = CLAMP,
         priced = cases.join(restarts.select("kenmerk").distinct(), "kenmerk", "left_semi")
         rows = rows.unionByName(priced.select(
             "kenmerk", F.lit("koopsom").alias("field"), t["doorstart"].alias("text")))
-    return rows.filter(strip(F.col("text")) != "").withColumn(
-        "text", F.substring("text", 1, clamp))
+    return rows.filter(strip(F.col("text")) != "").select(
+        "kenmerk", "field", F.lit(attempt).alias("attempt"), cut(F.col("text"), clamp).alias("text"))
 
 
 def response_json(reply: Column) -> Column:
@@ -84,10 +89,19 @@ def response_json(reply: Column) -> Column:
 
 
 def answers(responses: DataFrame) -> DataFrame:
-    """One row per case with the parsed answer to each question as ``a_<field>``."""
-    wide = responses.groupBy("kenmerk").agg(*[
-        F.max(F.when(F.col("field") == f, F.col("reply"))).alias(f"r_{f}") for f in FIELDS])
-    return wide.select("kenmerk", *[response_json(F.col(f"r_{f}")).alias(f"a_{f}")
+    """One row per case with the parsed answer to each question as ``a_<field>``.
+
+    Of several replies the first that parses counts: lowest ``attempt`` (1 where the column is
+    missing), then the lowest text.
+    """
+    attempt = F.col("attempt") if "attempt" in responses.columns else F.lit(1)
+    usable = responses.filter(response_json(F.col("reply")).isNotNull()).select(
+        "kenmerk", "field", F.struct(attempt.alias("attempt"), "reply").alias("r"))
+    asked = responses.select("kenmerk", "field", F.lit(None).cast(
+        usable.schema["r"].dataType).alias("r"))
+    wide = usable.union(asked).groupBy("kenmerk").agg(*[
+        F.min(F.when(F.col("field") == f, F.col("r"))).alias(f"r_{f}") for f in FIELDS])
+    return wide.select("kenmerk", *[response_json(F.col(f"r_{f}.reply")).alias(f"a_{f}")
                                     for f in FIELDS])
 
 

@@ -15,7 +15,6 @@ from estatelens.vocab import COURTS, TERMINAL_EVENTS
 MAX_ATTEMPTS = 3
 COOLDOWN_MINUTES = 60
 REFRESH_DAYS = 14
-REFRESH_BATCH = 2000
 REFRESHED_TYPES = ["company", "eenmanszaak"]
 
 
@@ -59,9 +58,10 @@ def discovery_eligible(candidates: DataFrame, raw: DataFrame, now: datetime,
 
 
 def refresh_candidates(raw: DataFrame, pubs: DataFrame, now: datetime,
-                       days: int = REFRESH_DAYS, limit: int | None = REFRESH_BATCH,
+                       days: int = REFRESH_DAYS, limit: int | None = None,
                        on: str = "kenmerk") -> DataFrame:
-    """Open company and sole-trader cases whose last good scrape is old, oldest first.
+    """Open company and sole-trader cases whose last good scrape is old: all of them, or the
+    ``limit`` oldest.
 
     ``on`` names the publication column holding the attempt-log id.  The entity class at the
     last good scrape rides in the low digits of a number: a numeric aggregate needs no sort.
@@ -80,9 +80,8 @@ def refresh_candidates(raw: DataFrame, pubs: DataFrame, now: datetime,
         & (F.col("last_ok") < F.lit(now - timedelta(days=days))))
     closed = (pubs.filter(F.col("event_type").isin(TERMINAL_EVENTS))
               .select(F.col(on).alias("kenmerk")).distinct())
-    oldest = (open_cases.join(closed, "kenmerk", "left_anti").select("kenmerk", "last_ok")
-              .orderBy("last_ok", "kenmerk"))
-    return oldest if limit is None else oldest.limit(limit)
+    stale = open_cases.join(closed, "kenmerk", "left_anti").select("kenmerk", "last_ok")
+    return stale if limit is None else stale.orderBy("last_ok", "kenmerk").limit(limit)
 
 
 def task_union(discovery: DataFrame, refresh: DataFrame) -> DataFrame:
@@ -95,7 +94,7 @@ def task_union(discovery: DataFrame, refresh: DataFrame) -> DataFrame:
 def fetch_worklist(raw: DataFrame, pubs: DataFrame, candidates: DataFrame, now: datetime,
                    max_attempts: int = MAX_ATTEMPTS,
                    cooldown: timedelta = timedelta(minutes=COOLDOWN_MINUTES),
-                   days: int = REFRESH_DAYS, limit: int | None = REFRESH_BATCH) -> DataFrame:
+                   days: int = REFRESH_DAYS, limit: int | None = None) -> DataFrame:
     """(kenmerk, court) of every case to fetch now."""
     return task_union(discovery_eligible(candidates, raw, now, max_attempts, cooldown),
                       refresh_candidates(raw, pubs, now, days, limit))

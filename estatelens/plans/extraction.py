@@ -110,13 +110,16 @@ def case_sections(worklist: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def extract_company(worklist: DataFrame, texts: DataFrame, responses: DataFrame | None = None,
-                    salt: str = "") -> DataFrame:
+                    *, salt: str) -> DataFrame:
     """One record per case of the worklist (kenmerk, first_nar, last_nar, last_fin, debtor_name,
     insolventienummer, kvk_nummer).
 
     ``texts`` is (document_kenmerk, text), ``responses`` is (kenmerk, field, reply).  A case whose
-    texts are missing keeps a record without figures.
+    texts are missing keeps a record without figures.  ``salt`` keys the hashes of persons; it
+    must not be empty.
     """
+    if not salt:
+        raise ValueError("hashes of persons need a salt")
     cases = compute_once(_mined_worklist(worklist, texts), {
         "by_section": figures.debt_sections(F.col("text.crediteuren")),
         "staff": figures.headcount(F.col("text.personeel"))})

@@ -25,6 +25,7 @@ PUBLICATIONS = TableSpec("processed_publications", ("kenmerk", "publicatie_kenme
                          "scraped_at", "scraped_at")
 DOCUMENTS = TableSpec("processed_documents", ("kenmerk", "document_kenmerk"),
                       "scraped_at", "scraped_at")
+MALFORMED = TableSpec("malformed_records", ("kenmerk", "scraped_at"), "scraped_at", "scraped_at")
 SNAPSHOT = TableSpec("kvk_snapshot", ("kvk_nummer",), "snapshot_at")
 PROFILE = TableSpec("processed_profile", ("kenmerk",), "extracted_at")
 REVENUE = TableSpec("processed_revenue", ("kenmerk", "jaar"), "extracted_at")

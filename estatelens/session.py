@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,9 +34,13 @@ def build_session(master: str | None = None, app: str = "estatelens", **conf: st
     return builder.getOrCreate()
 
 
+#: Used where ``spark.checkpoint.dir`` is not set; it can be set on a running session.
+WORK_SETTING = "spark.estatelens.work.dir"
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; local scratch only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = os.path.join(tempfile.gettempdir(), "estatelens-work")
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor must see."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(WORK_SETTING, None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from estatelens.functions.stages import compute_once
 from estatelens.schemas import RECORD
 
-MAX_BATCH = 20_000
-
-
 def _usable(raw: DataFrame, since: datetime) -> DataFrame:
     kept = raw.filter((F.col("status") == "ok") & (F.col("record") != "")
                       & (F.col("scraped_at") >= F.lit(since)))
@@ -23,25 +20,28 @@ def _usable(raw: DataFrame, since: datetime) -> DataFrame:
 
 
 def raw_ok(raw: DataFrame, since: datetime, limit: int | None = None) -> DataFrame:
-    """Successful attempts strictly after ``since``, oldest first."""
+    """Successful attempts strictly after ``since``: all of them, or the oldest ``limit``."""
     rows = _usable(raw, since).filter(F.col("scraped_at") > F.lit(since)).select(
         "kenmerk", "scraped_at", "record")
-    ordered = rows.orderBy("scraped_at", "kenmerk")
-    return ordered if limit is None else ordered.limit(limit)
+    return rows if limit is None else rows.orderBy("scraped_at", "kenmerk").limit(limit)
 
 
 def incremental_batch(raw: DataFrame, after: tuple[datetime, str],
-                      limit: int = MAX_BATCH) -> DataFrame:
-    """Next batch after a (time, id) checkpoint.  The id breaks ties, so rows that share the
-    boundary time are not lost between batches."""
+                      limit: int | None = None) -> DataFrame:
+    """Attempts after a (time, id) checkpoint: all, or the oldest ``limit``.  The id breaks ties,
+    so rows that share the boundary time are not lost between batches.
+
+    The result is lazy.  Write it out and take ``next_checkpoint`` of the written rows: the log
+    may grow between two evaluations, and the checkpoint must not pass rows nobody saw.
+    """
     since, kenmerk = after
     newer = (F.col("scraped_at") > F.lit(since)) | (F.col("kenmerk") > F.lit(kenmerk))
-    return (_usable(raw, since).filter(newer).select("kenmerk", "scraped_at", "record")
-            .orderBy("scraped_at", "kenmerk").limit(limit))
+    rows = _usable(raw, since).filter(newer).select("kenmerk", "scraped_at", "record")
+    return rows if limit is None else rows.orderBy("scraped_at", "kenmerk").limit(limit)
 
 
 def next_checkpoint(batch: DataFrame) -> DataFrame:
-    """One row: the checkpoint after a batch."""
+    """One row: the checkpoint after a batch that has been written."""
     top = F.max(F.struct("scraped_at", "kenmerk"))
     return batch.agg(top.alias("c")).select("c.scraped_at", "c.kenmerk")
 
@@ -59,7 +59,11 @@ def with_record(raw: DataFrame) -> DataFrame:
 
 def decode_record(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): rows with a decoded record, and the malformed rows as they came."""
-    decoded = with_record(raw)
+    return split_decoded(with_record(raw))
+
+
+def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of rows from ``with_record``, which a caller may keep between the two."""
     good = decoded.filter(~F.col("malformed")).drop("malformed", "_raw")
     bad = decoded.filter("malformed").withColumn("record", F.col("_raw")).drop("malformed", "_raw")
     return good, bad

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -11,18 +12,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from estatelens.operators.fanout import to_cases, to_documents, to_publications
-from estatelens.schemas import CASES, DOCUMENTS, PUBLICATIONS, RAW_ROW, TableSpec
-from estatelens.sources.rawlog import decode_record
+from estatelens.schemas import (
+    CASES, DOCUMENTS, MALFORMED, PUBLICATIONS, RAW_ROW, TableSpec,
+)
+from estatelens.sources.rawlog import split_decoded, with_record
 from estatelens.sources.tables import by_month
 
-FLUSH_INTERVAL = "10 seconds"
+FLUSH_INTERVAL = "10 seconds"  # the pace of a worker that never stops
 
 
 @dataclass(frozen=True)
 class StreamSpec:
     """Where a fan-out stream writes and how it is paced.
 
-    ``interval`` runs continuously in micro-batches; None takes what is available and stops.
+    ``interval`` (``FLUSH_INTERVAL``, say) runs continuously in micro-batches; None takes what is
+    available and stops.
     """
 
     output: str
@@ -36,6 +40,7 @@ OUTPUTS: dict[str, tuple] = {
     "processed_publications": (to_publications, PUBLICATIONS),
     "processed_documents": (to_documents, DOCUMENTS),
 }
+BAD_RECORDS = "malformed_records"
 
 
 def read_raw_stream(spark: SparkSession, path: str, max_files: int = 100,
@@ -46,33 +51,73 @@ def read_raw_stream(spark: SparkSession, path: str, max_files: int = 100,
             .parquet(path))
 
 
-def _write(df: DataFrame, path: str, spec: TableSpec, batch_id: int) -> None:
+def _write(df: DataFrame, path: str, spec: TableSpec, run_id: str, batch_id: int) -> None:
     # a replayed batch overwrites its own folders and nothing else
-    (by_month(df, spec).withColumn("batch_id", F.lit(batch_id))
+    (by_month(df, spec).withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
+     .sortWithinPartitions("scraped_month", *spec.key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("scraped_month", "batch_id").parquet(path))
+     .partitionBy("scraped_month", "run_id", "batch_id").parquet(path))
 
 
-def write_fanout(raw: DataFrame, output: str, batch_id: int = 0) -> None:
-    """Cases, publications and documents of one batch of attempts."""
-    good, _ = decode_record(raw.filter((F.col("status") == "ok") & (F.col("record") != "")))
-    good = good.select("kenmerk", "scraped_at", "record").persist(StorageLevel.MEMORY_AND_DISK)
+def write_fanout(raw: DataFrame, output: str, run_id: str, batch_id: int) -> None:
+    """Cases, publications and documents of one batch of attempts, and its malformed records.
+
+    ``run_id`` names the numbering that ``batch_id`` belongs to: the same pair again replaces
+    what it wrote before, any other pair only adds.
+    """
+    usable = raw.filter((F.col("status") == "ok") & (F.col("record") != ""))
+    decoded = with_record(usable.select("kenmerk", "scraped_at", "record")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
+        good, bad = split_decoded(decoded)
         for name, (rows, spec) in OUTPUTS.items():
-            _write(rows(good), f"{output}/{name}", spec, batch_id)
+            _write(rows(good), f"{output}/{name}", spec, run_id, batch_id)
+        _write(bad, f"{output}/{BAD_RECORDS}", MALFORMED, run_id, batch_id)
     finally:
-        good.unpersist()
+        decoded.unpersist()
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint: the same after a restart, another one where
+    the checkpoint is new and batches are counted from 0 again."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def stream_fanout(raw_stream: DataFrame, spec: StreamSpec) -> StreamingQuery:
+    """Runs ``write_fanout`` on every micro-batch.  Attempts read again by a stream with a new
+    checkpoint are written again beside the old ones; ``fanout_rows`` sees each once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run_id = checkpoint_id(batch.sparkSession, spec.checkpoint)
+        write_fanout(batch, spec.output, run_id, batch_id)
+
     writer = (raw_stream.writeStream.option("checkpointLocation", spec.checkpoint)
-              .options(**spec.options)
-              .foreachBatch(lambda batch, batch_id: write_fanout(batch, spec.output, batch_id)))
+              .options(**spec.options).foreachBatch(write))
     if spec.interval:
         return writer.trigger(processingTime=spec.interval).start()
     return writer.trigger(availableNow=True).start()
 
 
+def fanout_rows(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """All versions of one output table, each row once however often its attempt was read."""
+    rows = spark.read.parquet(f"{output}/{name}").drop("run_id", "batch_id")
+    return rows.distinct()
+
+
+def compact_months(spark: SparkSession, output: str, name: str, target: str,
+                   before: str) -> None:
+    """Rewrites the closed months (``yyyy-MM`` below ``before``) of an output table to ``target``:
+    every row once, in few sorted files instead of one folder per batch.
+
+    A month is replaced as a whole, so late rows of a closed month are taken up by running again.
+    """
+    spec = OUTPUTS[name][1]
+    closed = fanout_rows(spark, output, name).filter(F.col("scraped_month") < before)
+    (closed.hint("rebalance", "scraped_month").sortWithinPartitions("scraped_month", *spec.key)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("scraped_month").parquet(target))
+
+
 def stream_tasks_filter(bodies: DataFrame) -> DataFrame:
     """Task bodies (JSON text in ``body``) to (kenmerk, court); malformed bodies and tasks without
     an id are dropped.  Works on batch and streaming input."""

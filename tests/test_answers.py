@@ -102,7 +102,7 @@ def test_extraction_end_to_end(spark):
                             '"Moeder Holding B.V.", "relatie": "moeder"}]}'),
          ("K1", "oorzaak", '{"oorzaak": "fout van J. Bossen of bossen", "categorie": "overig"}')],
         "kenmerk string, field string, reply string")
-    records = {r["kenmerk"]: r for r in extract_company(work, texts, replies, "s").collect()}
+    records = {r["kenmerk"]: r for r in extract_company(work, texts, replies, salt="s").collect()}
     one, two = records["K1"], records["K2"]
     assert one["oorzaak"] == "fout van [persoon] of [persoon]"
     assert [(r["relatie"], r["company_name"]) for r in one["relations"]] == [
@@ -110,7 +110,7 @@ def test_extraction_end_to_end(spark):
     assert (one["koopsom"], one["personeel_ttv"], one["debt"]["boedelvorderingen"],
             one["asset_realizations"]) == (5.0, 12, 11.0, {"debiteuren": 5.0})
     assert two["relations"] == [] and two["omzet_historie"] == []
-    without = extract_company(work, texts)
+    without = extract_company(work, texts, salt="s")
     assert {r["kenmerk"] for r in fanout.to_debt(without).collect()} == {"K1"}
     assert without.filter("personeel_ttv = 12").count() == 1
 

@@ -123,6 +123,8 @@ def test_headcount_falls_back_only_when_empty(evaluate):
 
 def test_settlement_tail_takes_first_mention(evaluate):
     got = evaluate(["a 8.7 b 8.7 c", "x" * 5000, ""], sections.settlement_tail)
+    assert got == ["8.7 b 8.7 c", "x" * 5000, ""]
+    got = evaluate(["a 8.7 b 8.7 c", "x" * 5000, ""], lambda c: sections.settlement_tail(c, 4000))
     assert got == ["8.7 b 8.7 c", "x" * 4000, ""]
 
 

@@ -3,7 +3,8 @@ from datetime import datetime
 
 from estatelens.schemas import RAW_ROW
 from estatelens.streaming.jobs import (
-    OUTPUTS, StreamSpec, read_raw_stream, stream_fanout, stream_tasks_filter, write_fanout,
+    BAD_RECORDS, OUTPUTS, StreamSpec, fanout_rows, read_raw_stream, stream_fanout,
+    stream_tasks_filter, write_fanout,
 )
 
 
@@ -20,7 +21,7 @@ def attempts(spark, n=12):
 
 def content(spark, out):
     return {name: sorted(tuple(map(str, r)) for r in spark.read.parquet(f"{out}/{name}")
-                         .drop("batch_id").collect()) for name in OUTPUTS}
+                         .drop("run_id", "batch_id").collect()) for name in OUTPUTS}
 
 
 def test_stream_equals_one_batch_and_replay_changes_nothing(spark, tmp_path):
@@ -34,8 +35,8 @@ def test_stream_equals_one_batch_and_replay_changes_nothing(spark, tmp_path):
 
     run()
     streamed = content(spark, spec.output)
-    write_fanout(log, str(tmp_path / "batch"))
-    write_fanout(log, str(tmp_path / "batch"))
+    write_fanout(log, str(tmp_path / "batch"), "r", 0)
+    write_fanout(log, str(tmp_path / "batch"), "r", 0)
     assert streamed == content(spark, str(tmp_path / "batch"))
     assert len(streamed["processed_cases"]) == 8
     log.limit(1).withColumn("status", log["status"]).write.mode("append").parquet(
@@ -45,6 +46,35 @@ def test_stream_equals_one_batch_and_replay_changes_nothing(spark, tmp_path):
         streamed["processed_documents"])  # the added attempt had failed
 
 
+def test_new_checkpoint_loses_nothing(spark, tmp_path):
+    """Batch 0 of a stream with a new checkpoint stands beside the old batch 0."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    attempts(spark).filter("kenmerk < 'K5'").coalesce(1).write.parquet(raw)
+    stream_fanout(read_raw_stream(spark, raw), StreamSpec(out, str(tmp_path / "c1"))) \
+        .awaitTermination()
+    before = {r.kenmerk for r in fanout_rows(spark, out, "processed_cases").collect()}
+    # the old input files are gone, as is the old checkpoint
+    later = str(tmp_path / "later")
+    attempts(spark).filter("kenmerk >= 'K5'").coalesce(1).write.parquet(later)
+    stream_fanout(read_raw_stream(spark, later), StreamSpec(out, str(tmp_path / "c2"))) \
+        .awaitTermination()
+    after = [r.kenmerk for r in fanout_rows(spark, out, "processed_cases").collect()]
+    assert before < set(after) and len(after) == len(set(after)) == 8
+    assert [r.record for r in fanout_rows(spark, out, BAD_RECORDS).collect()] == ["{"]
+
+
+def test_running_stream_flushes_at_its_interval(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    attempts(spark).coalesce(1).write.parquet(raw)
+    query = stream_fanout(read_raw_stream(spark, raw),
+                          StreamSpec(out, str(tmp_path / "c"), interval="1 second"))
+    try:
+        query.processAllAvailable()
+        assert fanout_rows(spark, out, "processed_cases").count() == 8 and query.isActive
+    finally:
+        query.stop()
+
+
 def test_tasks(spark):
     df = spark.createDataFrame([('{"kenmerk": "a", "court": "x"}',), ('{"kenmerk": "b"}',),
                                 ('{"kenmerk": ""}',), ('{"court": "x"}',), ("{",), (None,)],

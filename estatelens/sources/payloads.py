@@ -56,12 +56,46 @@ def decode_search(responses: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------------- cases
 
 
+_LISTS = ("curators", "bewindvoerders", "publicatiegeschiedenis", "vestigingsadressen",
+          "woonadressen", "correspondentieadressen")
+
+
+def _is_empty(value: Column) -> Column:
+    """Missing, JSON null, or an empty text, zero, false, list or object."""
+    kind = F.schema_of_variant(value)
+    return (value.isNull() | kind.isin("VOID", "ARRAY<VOID>", "OBJECT<>")
+            | F.coalesce(F.try_variant_get(value, "$", "string").isin("", "0", "false"),
+                         F.lit(False)))
+
+
+def _well_formed(model: Column) -> Column:
+    """Whether a case can be read: an object, whose person is an object and whose lists hold
+    objects, where they are there at all."""
+    def member(name: str) -> Column:
+        return F.try_variant_get(model, f"$.{name}", "variant")
+
+    good = F.schema_of_variant(model).startswith("OBJECT") & let(
+        member("persoon"),
+        lambda v: _is_empty(v) | F.schema_of_variant(v).startswith("OBJECT"))
+    for name in _LISTS:
+        good = good & let(member(name), lambda v: _is_empty(v) | F.schema_of_variant(v)
+                          .startswith("ARRAY<OBJECT"))
+    return good
+
+
 def attempt_status(payload: Column) -> Column:
-    """``fetch_failed`` without readable payload, ``purged`` for a null model, else ``ok``."""
-    return let(F.try_parse_json(payload), lambda v: (
-        F.when(v.isNull(), "fetch_failed")
-        .when(F.is_variant_null(F.variant_get(v, "$.model", "variant")), "purged")
-        .otherwise("ok")))
+    """``purged`` for a null model, ``ok`` for a case that can be read, else ``fetch_failed``.
+
+    The case is the ``model`` of an object, or the object itself where it has none.
+    """
+    def status(v: Column) -> Column:
+        wrapped = F.try_variant_get(v, "$.model", "variant")
+        return (F.when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "fetch_failed")
+                .when(wrapped.isNotNull() & F.is_variant_null(wrapped), "purged")
+                .when(_well_formed(F.coalesce(wrapped, v)), "ok")
+                .otherwise("fetch_failed"))
+
+    return let(F.try_parse_json(payload), status)
 
 
 def _joined(sep: str, *parts: Column) -> Column:
@@ -262,40 +296,39 @@ def anonymise(cases: DataFrame, salt: str) -> DataFrame:
     return compute_once(cases, {"record": changed})
 
 
-def normalise_cases(payloads: DataFrame, salt: str, reports: DataFrame | None = None) -> DataFrame:
+def normalise_cases(payloads: DataFrame, salt: str, reports: DataFrame | None = None,
+                    git_sha: str = "") -> DataFrame:
     """(query_kenmerk, scraped_at, payload) to attempt-log rows.
 
-    Every payload yields one row: its status, and for readable cases the entity class and the
-    anonymised record as JSON.  ``reports`` adds documents to company cases.
+    Every payload yields one row in one pass: its status, and for readable cases the entity class
+    and the anonymised record as JSON.  ``reports`` adds documents to company cases; of several
+    replies for one number the lowest text counts.
     """
     staged = compute_once(payloads, {"status": attempt_status(F.col("payload"))})
-    readable = anonymise(decode_case(staged.filter("status = 'ok'")), salt)
+    ok = F.col("status") == "ok"
+    readable = anonymise(decode_case(staged), salt)
     if reports is not None:
-        number = F.when(_reportable(F.col("record.type"), F.col("record.insolventienummer")),
+        number = F.when(ok & _reportable(F.col("record.type"), F.col("record.insolventienummer")),
                         F.col("record.insolventienummer"))
+        # rows without a number get keys of their own that match nothing, so no task owns them all
+        spread = F.concat(F.lit("\u0000"), F.xxhash64("query_kenmerk", "scraped_at"))
+        single = reports.groupBy("insolventienummer").agg(F.min("body").alias("_body"))
         readable = (
-            readable.withColumn("_number", number)
-            .join(reports.select(F.col("insolventienummer").alias("_number"),
-                                 F.col("body").alias("_body")), "_number", "left")
+            readable.withColumn("_number", F.coalesce(number, spread))
+            .join(single.withColumnRenamed("insolventienummer", "_number"), "_number", "left")
             .withColumn("record", F.col("record").withField("documents",
                                                             documents_of(F.col("_body")))))
     stamped = F.col("record").withField(
         "scraped_at", F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     written = compute_once(readable, {
-        "json": F.to_json(stamped, {"ignoreNullFields": "false"}),
-        "entity_type": F.col("record.type")})
-    done = written.select(
-        F.col("query_kenmerk").alias("kenmerk"), "scraped_at",
-        F.when(F.col("json").isNull(), "parse_failed").otherwise("ok").alias("status"),
-        "entity_type", F.lit("").alias("error"),
-        F.coalesce("json", F.lit("")).alias("record"))
-    failed = staged.filter("status != 'ok'").select(
+        "json": F.when(ok, F.to_json(stamped, {"ignoreNullFields": "false"})),
+        "entity_type": F.when(ok, F.col("record.type"))})
+    return written.select(
         F.col("query_kenmerk").alias("kenmerk"), "scraped_at", "status",
-        F.lit("").alias("entity_type"),
-        F.when(F.col("status") == "purged", "case no longer published")
+        F.coalesce("entity_type", F.lit("")).alias("entity_type"),
+        F.when(ok, "").when(F.col("status") == "purged", "case no longer published")
         .otherwise("unreadable payload").alias("error"),
-        F.lit("").alias("record"))
-    return done.unionByName(failed)
+        F.coalesce("json", F.lit("")).alias("record"), F.lit(git_sha).alias("git_sha"))
 
 
 # --------------------------------------------------------------------------------- probes

@@ -55,6 +55,15 @@ def test_attempt_status(evaluate):
     got = evaluate([None, "<html>", '{"model": null}', '{"model": {}}', '{"status": 1}'],
                    payloads.attempt_status)
     assert got == ["fetch_failed", "fetch_failed", "purged", "ok", "ok"]
+    bad = ["null", "[]", '"x"', "5", '{"model": 7}', '{"model": []}', '{"model": "x"}',
+           '{"model": {"persoon": [1]}}', '{"model": {"persoon": 3}}',
+           '{"model": {"curators": {"a": 1}}}', '{"model": {"curators": ["x"]}}',
+           '{"model": {"woonadressen": true}}', '{"persoon": "Jan"}']
+    assert evaluate(bad, payloads.attempt_status) == ["fetch_failed"] * len(bad)
+    good = ['{"model": {"persoon": null, "curators": []}}', '{"model": {"persoon": ""}}',
+            '{"model": {"persoon": {"a": 1}, "curators": [{"achternaam": "x"}]}}',
+            '{"model": {"curators": {}, "woonadressen": 0}}']
+    assert evaluate(good, payloads.attempt_status) == ["ok"] * len(good)
 
 
 def test_anonymise_keeps_companies_and_trustees(spark):

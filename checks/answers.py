@@ -5,6 +5,9 @@ Answers are rendered per customer and question; the SQL answers follow from the
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ from checks.base import D, S, Source, query
 from checks.reports import ASSETS, DEBT, FIG, MERGED, report_texts
 from estatelens.operators import fanout, responses
 from estatelens.plans.extraction import extract_company
+from estatelens.session import work_dir
+from estatelens.sources.tables import live_rows
 from estatelens.vocab import SECTORS
 
 SALT = "zout"
@@ -361,3 +366,31 @@ def _(s: Source) -> DataFrame:
         "n_assets": F.size("asset_realizations").cast("bigint"),
         "n_relations": F.size("relations").cast("bigint"), "uwv": F.col("debt.pref_uwv")})
     return _shown_profile(sized, "n_years", "n_assets", "n_relations", "uwv")
+
+
+@query("live_extraction", f"""select 'processed_revenue' as table_name, kenmerk,
+      cast(jaar as varchar) as item, omzet as amount from ({_merged_cases()}) y
+    union all select 'processed_asset_sales', concat('K', cast(k as varchar)), categorie, bedrag
+      from ({ASSETS}) a
+    union all select 'processed_debt', concat('K', cast(k as varchar)), 'uwv', pref_uwv from ({DEBT}) d
+    union all select 'processed_relations', kenmerk, concat(relatie, ' ', company_name), null
+      from ({_RELATIONS}) r
+    union all select 'processed_profile', kenmerk, sector, koopsom from ({PROFILE}) p""")
+def _(s: Source) -> DataFrame:
+    """Two extractions of the same cases into five tables: the live rows are those of one."""
+    folder = work_dir(s.spark, "extraction")
+    found = records(s)
+    for day in (1, 2):
+        fanout.write_extraction(found, folder, datetime(2026, 1, day))
+    live = {name: live_rows(s.spark, f"{folder}/{name}", spec)
+            for name, spec in fanout.EXTRACTED.items()}
+    shown = {"processed_revenue": (F.col("jaar").cast("string"), F.col("omzet")),
+             "processed_asset_sales": (F.col("categorie"), F.col("verkoopopbrengst")),
+             "processed_debt": (F.lit("uwv"), F.col("pref_uwv")),
+             "processed_relations": (F.concat_ws(" ", "relatie", "company_name"),
+                                     F.lit(None).cast("double")),
+             "processed_profile": (F.col("sector"), F.col("koopsom"))}
+    parts = [live[name].filter(F.col("extracted_at") == F.lit(datetime(2026, 1, 2))).select(
+        F.lit(name).alias("table_name"), "kenmerk", item.alias("item"), amount.alias("amount"))
+        for name, (item, amount) in shown.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelens.vocab import COURTS, EVENT_TYPES
+from estatelens.vocab import COURTS, EVENT_TYPES, OLD_COURT_NUMBERS
 
 TABLES = ("customer", "documents", "events", "lineitem", "nation", "orders", "pages", "part",
           "supplier")
@@ -178,10 +178,8 @@ def cases(d) -> str:
       from {{orders}} join {{customer}} on o_custkey = c_custkey"""
 
 
-OLD_ABBRS = ["she", "bre", "maa", "roe", "arn", "zut", "zwo", "alm", "gra", "sgr", "dha", "rot",
-             "dor", "mid", "ams", "alk", "haa", "utr", "lee", "gro", "ass"]
-OLD_NUMBERS = ["01", "02", "03", "04", "05", "06", "07", "08", "09", "09", "09", "10", "11",
-               "12", "13", "14", "15", "16", "17", "18", "19"]
+OLD_ABBRS = list(OLD_COURT_NUMBERS)
+OLD_NUMBERS = [f"{n:02d}" for n in OLD_COURT_NUMBERS.values()]
 
 
 def listing(d) -> str:

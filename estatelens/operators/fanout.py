@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.functions.dates import iso_date_clamp
 from estatelens.functions.text import blank_to_null, filled
+from estatelens.schemas import ASSET_SALES, DEBT, PROFILE, RELATIONS, REVENUE
+from estatelens.sources.tables import stamped, write_table
 
 ADDRESS_PREFERENCE = ["vestiging", "woon", "correspondentie"]
 
@@ -125,3 +128,24 @@ def to_debt(records: DataFrame) -> DataFrame:
 def to_relations(records: DataFrame) -> DataFrame:
     rows = records.select("kenmerk", F.explode("relations").alias("r"))
     return rows.select("kenmerk", "r.relatie", "r.company_name", "r.detail")
+
+
+EXTRACTED = {
+    "processed_profile": PROFILE, "processed_revenue": REVENUE,
+    "processed_asset_sales": ASSET_SALES, "processed_debt": DEBT,
+    "processed_relations": RELATIONS,
+}
+
+
+def write_extraction(records: DataFrame, folder: str, at: datetime, model: str = "") -> None:
+    """Extraction records to their five tables below ``folder``, stamped ``extracted_at``.
+
+    Records are stored once, next to the tables, so sectioning, mining and checking run once.
+    """
+    stored = f"{folder}/records/extracted_at={at:%Y%m%dT%H%M%S%f}"
+    records.write.mode("overwrite").parquet(stored)
+    once = records.sparkSession.read.parquet(stored)
+    rows = (to_profile(once, model), to_revenue(once), to_asset_sales(once), to_debt(once),
+            to_relations(once))
+    for (name, spec), table in zip(EXTRACTED.items(), rows):
+        write_table(stamped(table, spec, at), f"{folder}/{name}", spec)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,11 @@ def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "append")
          .write.mode(mode).partitionBy("scraped_month").parquet(path))
 
 
+def stamped(df: DataFrame, spec: TableSpec, at: datetime) -> DataFrame:
+    """Rows with the table's version column set to the time of their making."""
+    return df.withColumn(spec.version, F.lit(at))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """All versions of a table, month column as text."""
     return (spark.read.option("basePath", path).parquet(path))

@@ -20,7 +20,7 @@ CHOSEN = ["latest_per_key", "attempt_summary", "discovery_eligible", "refresh_ca
           "decode_search", "decode_case", "anonymize_cases", "probe_rows", "parse_listing_html",
           "split_sections", "parse_revenue", "debt_sections", "extract_company", "sink_fanout",
           "stream_restart", "stream_malformed", "compact_months", "refresh_batch", "oldest_batch",
-          "normalise_cases"]
+          "normalise_cases", "live_extraction", "discovery_dedup"]
 
 
 @pytest.fixture(scope="module")

@@ -178,8 +178,10 @@ def _search(rows: DataFrame, is_query: Column, size: int, total: int,
     spark = rows.sparkSession
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(params.sample) \
         .select("vector").toArrow().column(0).combine_chunks()
-    splits = spark.sparkContext.broadcast(
-        ShardSplits(matrix(sample, size), -(-total // params.shard_rows)))
+    # no more shards than the sample can tell apart; larger ones are dealt in portions
+    fitted = ShardSplits(matrix(sample, size),
+                         min(-(-total // params.shard_rows), max(1, params.sample // 8)))
+    parts, splits = 1 << fitted.depth, spark.sparkContext.broadcast(fitted)
 
     def deal(batches):
         for batch in batches:
@@ -205,16 +207,15 @@ def _search(rows: DataFrame, is_query: Column, size: int, total: int,
                     .select("query_id", "vec_id", "score"), "first")
     kth = first.groupBy("query_id").agg(
         F.when(F.count("*") == params.k, F.min("score")).alias("kth"))
-    # every query, in flocks, against every shard but the one it has visited
-    shards = [(r.shard, r.portions) for r in crowds.collect()]
-    places = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(p).alias("portion"))
-                       for s, n in shards for p in range(n)])
+    # every query, in flocks, against every portion of every shard but the one it has visited
     rest = (asking.withColumnRenamed("shard", "home").join(
         kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
-        .select("home", flock, "vec_id", "vector", "kth", F.explode(places).alias("place"))
-        .where((F.col("place.shard") != F.col("home")) | (F.col("place.portion") != 0))
-        .select("place.shard", "place.portion", "flock", F.lit(1).alias("role"), "vec_id",
-                "vector", "kth"))
+        .select("home", flock, "vec_id", "vector", "kth",
+                F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("shard"))
+        .join(crowds, "shard")
+        .select("home", "shard", F.explode(F.expr("sequence(0, portions - 1)")).alias("portion"),
+                "flock", F.lit(1).alias("role"), "vec_id", "vector", "kth")
+        .where((F.col("shard") != F.col("home")) | (F.col("portion") != 0)))
     return _ranked(first.union(_visit(index, rest, params)), params.k)
 
 

@@ -66,11 +66,15 @@ def document_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 # ------------------------------------------------------------------------------- the sketch
 
 
-def count_sketch(texts: DataFrame, params: JaccardParams) -> np.ndarray:
-    """Shingle occurrences of all texts by hash bucket: ``2**sketch_bits`` counters.
+#: Levels of a counter: eight for each doubling, so that a byte holds rare and less rare apart.
+LEVELS = np.ceil(2.0 ** (np.arange(1, 256) / 8)).astype(np.int64)
+
+
+def count_levels(texts: DataFrame, params: JaccardParams) -> np.ndarray:
+    """How often shingles of all texts occur, by hash bucket: ``2**sketch_bits`` levels of a byte.
 
     Every task adds up its own rows; chunks of counters are then summed as a stream.  Only the
-    finished counters, whose number is a parameter, come to the driver.
+    finished levels, whose number is a parameter, come to the driver.
     """
     bits, size = params.sketch_bits, params.shingle
     shift, chunk = np.uint64(64 - bits), min(SKETCH_CHUNK, 1 << bits)
@@ -80,40 +84,42 @@ def count_sketch(texts: DataFrame, params: JaccardParams) -> np.ndarray:
             [pa.array([key], pa.int32()), pa.array([counts.tobytes()])], ["chunk", "counts"])
 
     def count(batches):
-        own = np.zeros(1 << bits, np.int64)
+        own = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for _, data, offsets in text_slices(batch.column(0)):
                 starts, ends, firsts = word_spans(data, offsets)
                 hashes, _ = shingle_hashes(word_hashes(data, starts, ends), firsts, size)
                 at, n = np.unique((hashes >> shift).astype(np.int64), return_counts=True)
-                own[at] += n
+                own[at] += n.astype(np.uint32)
         for i in range(0, len(own), chunk):
             part = own[i:i + chunk]
-            if part.any():  # counters take two bytes where that holds them
-                yield row(i // chunk, part.astype("<u2" if part.max() < 1 << 16 else "<i8"))
+            if part.any():  # counters take one byte where that holds them
+                yield row(i // chunk, part.astype("<u1" if part.max() < 1 << 8 else "<u4"))
+
+    def levels(sums: np.ndarray) -> np.ndarray:
+        return np.searchsorted(LEVELS, sums, side="right").astype(np.uint8)
 
     def total(batches):
         at, sums = None, None
         for batch in batches:
             for key, part in zip(batch.column(0).to_pylist(), batch.column(1)):
                 part = part.as_buffer()
-                part = np.frombuffer(part, "<u2" if len(part) == 2 * chunk else "<i8")
+                part = np.frombuffer(part, "<u1" if len(part) == chunk else "<u4")
                 if key == at:
                     sums = sums + part
                     continue
                 if at is not None:
-                    yield row(at, sums)
+                    yield row(at, levels(sums))
                 at, sums = key, part.astype("<i8")
         if at is not None:
-            yield row(at, sums)
+            yield row(at, levels(sums))
 
     schema = "chunk int, counts binary"
     parts = (texts.mapInArrow(count, schema).repartition("chunk")
              .sortWithinPartitions("chunk").mapInArrow(total, schema))
-    out = np.zeros(1 << bits, np.uint32)
+    out = np.zeros(1 << bits, np.uint8)
     for part in parts.toLocalIterator():
-        sums = np.minimum(np.frombuffer(part.counts, "<i8"), 0xFFFFFFFF)
-        out[part.chunk * chunk:(part.chunk + 1) * chunk] = sums
+        out[part.chunk * chunk:(part.chunk + 1) * chunk] = np.frombuffer(part.counts, np.uint8)
     return out
 
 
@@ -124,19 +130,21 @@ def first_elements(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def light_boundary(sketch: np.ndarray, params: JaccardParams) -> int:
+def light_boundary(levels: np.ndarray, params: JaccardParams) -> int:
     """Largest set size for which pairs of first elements cost less than the single lists.
 
     A set with ``p`` first elements writes ``p`` keys and meets about ``extra`` other sets in each
     list, or writes ``p (p + 1) / 2`` keys of which hardly any are shared.  ``extra`` is how many
     more occurrences than chance an element's bucket holds, averaged over all occurrences.
     """
-    total = int(sketch.sum(dtype=np.int64))
+    buckets = np.bincount(levels, minlength=256)
+    counts = np.concatenate([[0.0], LEVELS.astype(float)])
+    total = float((buckets * counts).sum())
     if not total:
         return 0
-    chance = total / len(sketch)
-    over = sketch[sketch > chance + 6 * math.sqrt(chance) + 1].astype(float)
-    extra = float((over * (over - chance)).sum() / total)
+    chance = total / len(levels)
+    over = np.where(counts > chance + 6 * math.sqrt(chance) + 1, counts, 0.0)
+    extra = float((buckets * over * np.maximum(over - chance, 0)).sum() / total)
     best = 0
     for n in range(1, params.max_light + 1):
         p = first_elements(n, params.percent)
@@ -174,11 +182,8 @@ def set_class(own: np.ndarray) -> int:
                           signed=True)
 
 
-def _set_table(docs: DataFrame, sketch: np.ndarray, params: JaccardParams) -> DataFrame:
-    # eight steps for each doubling of a counter fit a byte and keep rare from less rare
-    steps = np.ceil(2.0 ** (np.arange(1, 256) / 8)).astype(np.int64)
-    levels = np.searchsorted(steps, sketch, side="right").astype(np.uint8)
-    light, shift = light_boundary(sketch, params), np.uint64(64 - params.sketch_bits)
+def _set_table(docs: DataFrame, levels: np.ndarray, params: JaccardParams) -> DataFrame:
+    light, shift = light_boundary(levels, params), np.uint64(64 - params.sketch_bits)
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     size, percent = params.shingle, params.percent
     names = ["doc_id", "n_shingles", "class", "keys", *(f"b{i}" for i in range(BITMAP_WORDS))]
@@ -250,20 +255,21 @@ def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
             keep = np.flatnonzero(passes(shared.value, key))
             row = np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[keep]
             if len(row):
+                lists = np.bincount(row, minlength=batch.num_rows)[row].astype(np.int32)
                 row = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[keep]), batch.column(0).take(row), batch.column(1).take(row)],
-                    ["key", "class", "n"])
-
-    entries = written(listed.mapInArrow(likely, "key long, class long, n int").distinct(),
-                      "entries")
-    shared = entries.groupBy("key").count().where("count > 1").select("key")
-    entries = written(entries.join(shared, "key"), "shared")
-    weighed = entries.join(entries.groupBy("class").agg(F.count("*").alias("lists")), "class")
-    heads = (weighed.groupBy("key").agg(F.max(F.struct("lists", "class", "n")).alias("head"))
+                    [pa.array(key[keep]), batch.column(0).take(row), batch.column(1).take(row),
+                     pa.array(lists)], ["key", "class", "n", "lists"])
+
+    # one shuffle: equal entries, counts and heads all meet by key
+    entries = (listed.mapInArrow(likely, "key long, class long, n int, lists int")
+               .repartition("key").distinct())
+    heads = (entries.groupBy("key").agg(F.count("*").alias("members"),
+                                        F.max(F.struct("lists", "class", "n")).alias("head"))
+             .where("members > 1")
              .select("key", F.col("head.n").alias("head_n"), F.col("head.class").alias("head"),
                      F.col("head.lists").alias("head_lists")))
-    return written(entries.join(heads, "key"), "lists")
+    return written(entries.drop("lists").join(heads, "key"), "lists")
 
 
 def _difference(a: str, b: str):
@@ -401,8 +407,9 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
     Other columns are ignored.  Equal sets are recognised by 64-bit digests.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = count_sketch(docs.select("text"), params)
-    table = written(_set_table(docs, sketch, params), "sets")
+    levels = count_levels(docs.select("text"), params)
+    table = written(_set_table(docs, levels, params), "sets")
+    del levels
     words = [f"b{i}" for i in range(BITMAP_WORDS)]
     classes = written(table.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
@@ -415,12 +422,14 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
                          & (F.col("head_n") * 100 >= F.col("n") * params.percent))
     pairs = headed.groupBy("class").agg(F.max(F.struct("head_lists", "head")).alias("h")) \
         .select(F.col("h.head").alias("hub"), F.col("class").alias("member"))
-    joined = None
+    joined, placed = None, lists
     for step in ("heads", "stragglers", "rest"):
+        if step != "heads":
+            placed = _placed(placed, joined)
         if step == "stragglers":
-            pairs = _stragglers(_placed(lists, joined))
+            pairs = _stragglers(placed)
         elif step == "rest":
-            pairs = _rest(_placed(lists, joined), bitmaps, params.percent)
+            pairs = _rest(placed, bitmaps, params.percent)
         if step != "rest":
             pairs = _likely(pairs, bitmaps, params.percent)
         found = _verified(pairs, involved, params)

@@ -59,7 +59,7 @@ def test_slices_cover_all_rows():
 
 def test_first_elements_hold_one_of_any_match():
     assert [first_elements(n, 80) for n in (1, 2, 3, 4, 5, 10)] == [0, 0, 0, 1, 2, 3]
-    assert light_boundary(np.zeros(16, np.uint32), JaccardParams()) == 0
+    assert light_boundary(np.zeros(16, np.uint8), JaccardParams()) == 0
 
 
 def _corpus():

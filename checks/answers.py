@@ -141,7 +141,8 @@ def _(s: Source) -> DataFrame:
       'Verkocht aan  Koper', ks, ' B.V. voor') from ({_CASE}) where not bare""")
 def _(s: Source) -> DataFrame:
     asked = responses.prompt_requests(_cases_with_text(s))
-    return asked.filter(F.col("field").isin("oorzaak", "rechtmatigheid", "doorstart"))
+    return asked.filter(F.col("field").isin("oorzaak", "rechtmatigheid", "doorstart")).select(
+        "kenmerk", "field", "text")
 
 
 # ------------------------------------------------------------------------ validators

@@ -250,6 +250,9 @@ def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
 
     def likely(batches):
         for batch in batches:
+            # equal texts have equal keys: once a batch is enough
+            first = np.unique(batch.column(0).to_numpy(), return_index=True)[1]
+            batch = batch.take(pa.array(first))
             keys = batch.column(2)
             key = keys.flatten().to_numpy()
             keep = np.flatnonzero(passes(shared.value, key))

@@ -6,6 +6,8 @@ report text except the named sections of the wanted reports.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,20 +26,28 @@ def section_reports(texts: DataFrame) -> DataFrame:
     return sectioned.withColumn("lines", lines(F.col("cleaned")))
 
 
-def mine_reports(sectioned: DataFrame) -> DataFrame:
-    """All figures of a report.  Input columns pass through, lines excepted.  The revenue table reads the uncleaned text: a page break inside
-    it counts as a line."""
+def mine_reports(sectioned: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """The figures of a report: all of them, or those named by ``only``, at the cost of those.
+
+    Input columns pass through, lines excepted.  The revenue table reads the uncleaned text: a
+    page break inside it counts as a line.
+    """
     section = F.coalesce(F.try_element_at("sections", F.lit("crediteuren")), F.lit(""))
     staff = F.coalesce(F.try_element_at("sections", F.lit("personeel")), F.lit(""))
     whole = F.col("cleaned")
-    return compute_once(sectioned.drop("lines"), {
-        "revenue": figures.parse_revenue(F.col("text")),
-        "assets": figures.asset_realizations(whole),
-        "boedel": figures.estate_balances(whole),
-        "creditors": figures.creditor_recovery(whole),
-        "debt": figures.merge_debt(figures.debt_sections(section), figures.debt_totals(whole)),
-        "headcount": figures.headcount(staff, whole),
-    })
+    miners = {
+        "revenue": lambda: figures.parse_revenue(F.col("text")),
+        "assets": lambda: figures.asset_realizations(whole),
+        "boedel": lambda: figures.estate_balances(whole),
+        "creditors": lambda: figures.creditor_recovery(whole),
+        "debt": lambda: figures.merge_debt(figures.debt_sections(section),
+                                           figures.debt_totals(whole)),
+        "headcount": lambda: figures.headcount(staff, whole),
+    }
+    wanted = list(miners) if only is None else list(only)
+    if unknown := set(wanted) - set(miners):
+        raise ValueError(f"no such figures: {sorted(unknown)}")
+    return compute_once(sectioned.drop("lines"), {name: miners[name]() for name in wanted})
 
 
 def _wanted_reports(worklist: DataFrame) -> DataFrame:

@@ -139,6 +139,10 @@ def test_whole_rows_of_every_job_can_be_read(spark):
     row = mined.select("*", "debt.pref_uwv", "boedel.definitief_saldo").collect()[0]
     assert row["debt"]["boedelvorderingen"] == 10.0 and row["headcount"]["personeel_ttv"] == 12
     assert mined.filter("debt.boedelvorderingen = 10 and size(assets) = 0").count() == 1
+    one = mine_reports(section_reports(texts), only=["headcount"])
+    assert one.columns == [c for c in mined.columns if c not in (
+        "revenue", "assets", "boedel", "creditors", "debt")]
+    assert one.first()["headcount"] == row["headcount"]
 
     raw = spark.createDataFrame(
         [("q", '{"model": {"persoon": {"voornaam": "Jan"}}}', datetime(2024, 1, 1))],

@@ -99,3 +99,8 @@ class WordIds:
 def word_ids(path: str, end: int = 0) -> WordIds:
     """The encoder of this worker."""
     return WordIds(path, end)
+
+
+def release_chunks() -> None:
+    """Lets a reused worker that turns to another operator give up the chunks it kept."""
+    word_ids.cache_clear()

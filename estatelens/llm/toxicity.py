@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.textbytes import (PUNCTUATION, combine, running_hash, span_hashes,
                                       text_slices, word_spans)
+from estatelens.llm.tokens import release_chunks
 
 
 @dataclass(frozen=True)
@@ -96,6 +97,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame,
     schema = "at int, weight double, rows long"
 
     def learn(batches):
+        release_chunks()
         examples = []
         for batch in batches:
             labels_ = batch.column(0).to_pylist()
@@ -146,6 +148,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray, params: ToxicityParams, sc
     names = [f.name for f in schema]
 
     def scores(batches):
+        release_chunks()
         w = shared.value
         for batch in batches:
             out = []

@@ -14,8 +14,11 @@ from estatelens.llm.jaccard import jaccard_components
 from estatelens.llm.kdtree import top_k
 from estatelens.llm.mixing import MixParams, mix_documents
 from estatelens.llm.multiindex import near_duplicates
+from estatelens.llm.negatives import hard_negatives
 from estatelens.llm.packing import pack_documents
 from estatelens.llm.personal import personal_spans
+from estatelens.llm.repetition import RepetitionParams, repetition_rules
+from estatelens.llm.resampling import resample
 from estatelens.llm.toxicity import toxicity_scores
 from estatelens.llm.urls import RULES, SOFT, STRICT, judge_urls
 
@@ -164,3 +167,106 @@ def op2_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"), MIX).select(
         "doc_id", F.col("_leaf.domain").alias("domain"), "lang", "source",
         F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"))
+
+
+_REPETITION = RepetitionParams()
+_COVERED = ", ".join(f"coalesce(max(c) filter (n = {n}), 0)::bigint as dup_chars_{n}"
+                     for n in _REPETITION.run_limits)
+_BROKEN = " or ".join(
+    [f"100 * dup_line_chars > {_REPETITION.line_limit} * word_chars",
+     *[f"100 * dup_chars_{n} > {m} * word_chars" for n, m in _REPETITION.run_limits.items()]])
+
+
+@query("op11_repetition_rules", f"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+w as (select doc_id, text, [x for x in regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+')
+    if x <> ''] as w from d),
+p as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from w),
+g as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as g from (
+    select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+    from w, (values {", ".join(f"({n})" for n in (3, *_REPETITION.run_limits))}) t(n))),
+t as (select doc_id, n, i from g qualify count(*) over (partition by doc_id, n, g) > 1),
+m as (select distinct doc_id, n, unnest(range(i, i + n)) as i from t),
+c as (select doc_id, n, count(*) as k, sum(length(word)) as c from m join p using (doc_id, i)
+    group by doc_id, n),
+r as (select doc_id, coalesce(max(k) filter (n = 3), 0) as n_repeat_words, {_COVERED}
+    from d left join c using (doc_id) group by doc_id),
+l as (select doc_id, unnest(string_split(text, chr(10))) as line,
+    unnest(range(len(string_split(text, chr(10))))) as i from d),
+e as (select doc_id, line from l where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+    qualify row_number() over (partition by doc_id, line order by i) > 1),
+f as (select doc_id, count(line) as n_dup_lines, coalesce(sum(length(regexp_replace(line,
+    '[\\x20\\x09-\\x0D]', '', 'g'))), 0)::bigint as dup_line_chars
+    from d left join e using (doc_id) group by doc_id),
+a as (select doc_id, len(w)::bigint as n_words,
+    length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+    n_dup_lines, n_repeat_words::bigint as n_repeat_words,
+    n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    r.* exclude (doc_id, n_repeat_words), dup_line_chars
+    from w join r using (doc_id) join f using (doc_id))
+select *, not base_failed and not ({_BROKEN}) as kept from a""")
+def op11_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(table(spark, sf_dir, "documents"), _REPETITION).drop("failed")
+
+
+@query("op12_importance_resampling", f"""
+with recursive
+b as (select v as v0, 0 as step, v::bigint as v from range(256) t(v) union all
+    select v0, step + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end
+    from b where step < 8),
+tab as (select v0, v from b where step = 8),
+src as (select 's' as side, doc_id, text from documents union all
+    select 't', item_id, text from benchmark),
+w as (select side, doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''),
+    '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> ''] as w from src),
+g as (select side, doc_id, unnest([array_to_string(w[i:i + n - 1], ' ')
+    for i in range(1, len(w) - n + 2)]) as g from w, (values (1), (2), (3)) t(n)),
+h as (select g, hex(encode(g)) as x from (select distinct g from g)),
+c as (select g, x, 0 as i, 4294967295::bigint as c from h union all
+    select g, x, i + 1, xor(c >> 8, tab.v) from c join tab
+    on tab.v0 = xor(c & 255, 16 * (instr('0123456789ABCDEF', x[2 * i + 1]) - 1)
+        + instr('0123456789ABCDEF', x[2 * i + 2]) - 1)
+    where 2 * i < length(x)),
+k as (select g, xor(c, 4294967295) % 10000 as bucket from c where 2 * i = length(x)),
+f as (select side, doc_id, bucket, count(*) as n from g join k using (g) group by all),
+u as (select bucket, coalesce(sum(n) filter (side = 's'), 0)::bigint as s,
+    coalesce(sum(n) filter (side = 't'), 0)::bigint as t from f group by bucket),
+v as (select bucket, floor(1000 * ln(((t + 1) * ((select sum(s) from u) + 10000))::double
+    / ((s + 1) * ((select sum(t) from u) + 10000))::double))::bigint as gain from u),
+m as (select doc_id, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight
+    from f join v using (bucket) where side = 's' group by doc_id),
+z as (select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features,
+    coalesce(weight, 0) as weight, sha256('42:' || doc_id)[1:8] as h
+    from w left join m using (doc_id) where side = 's'),
+y as (select *, list_reduce([0::bigint] || [(instr('0123456789abcdef', h[i]) - 1)::bigint
+    for i in range(1, 9)], lambda a, d: 16 * a + d) as hh from z),
+q as (select *, weight + floor(-1000 * ln(-ln((hh + 0.5) / 4294967296)))::bigint as score from y),
+r as (select doc_id, row_number() over (order by score desc, doc_id) as place from q
+    where n_words >= 20)
+select doc_id, n_features, weight, score,
+  case when place <= 5 * (select count(*) from r) // 100 then place end as rank
+from q left join r using (doc_id)""")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_hard_negatives", """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [floor(256 * x::double) for x in embedding] as q
+    from embeddings where vec_id is not null and label is not null and len(embedding) > 0
+      and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+    list_inner_product(a.q, b.q)::bigint as score
+    from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+p as (select * from s where same qualify row_number() over (partition by anchor_id
+    order by score desc, vec_id) <= 5)
+select anchor_id, p.vec_id as positive_id, row_number() over (partition by anchor_id, p.vec_id
+    order by s.score desc, s.vec_id)::int as rank, s.vec_id as negative_id,
+  p.score as positive_score, s.score as negative_score
+from p join s using (anchor_id) where not s.same and 50 * p.score <= 100 * s.score
+  and 100 * s.score <= 95 * p.score qualify rank <= 3""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from checks.base import D, S, Source, query
 from checks.reports import ASSETS, DEBT, FIG, MERGED, report_texts
 from estatelens.operators import fanout, responses
-from estatelens.plans.extraction import extract_company
+from estatelens.plans.extraction import extract_company, extract_mined
+from estatelens.plans.mined import add_reports, mined_reports, report_keys
 from estatelens.session import work_dir
 from estatelens.sources.tables import live_rows
 from estatelens.vocab import SECTORS
@@ -352,23 +353,66 @@ def _(s: Source) -> DataFrame:
     return _shown_profile(records(s))
 
 
-@query("extract_company", f"""select p.*, coalesce(n_years, 0) as n_years, coalesce(n_assets, 0) as n_assets,
+EXTRACTED = f"""select p.*, coalesce(n_years, 0) as n_years, coalesce(n_assets, 0) as n_assets,
       coalesce(n_relations, 0) as n_relations, uwv from ({PROFILE}) p
     left join (select kenmerk, count(*) as n_years from ({_merged_cases()}) group by 1) y on p.kenmerk = y.kenmerk
     left join (select concat('K', cast(k as varchar)) as kenmerk, count(*) as n_assets from ({ASSETS}) group by 1) s
       on p.kenmerk = s.kenmerk
     left join (select kenmerk, count(*) as n_relations from ({_RELATIONS}) group by 1) r on p.kenmerk = r.kenmerk
     left join (select concat('K', cast(k as varchar)) as kenmerk, pref_uwv as uwv from ({DEBT})) d
-      on p.kenmerk = d.kenmerk""")
-def _(s: Source) -> DataFrame:
-    """Flagship: one record per case, shown as its profile with the sizes of its parts."""
-    sized = records(s).withColumns({
+      on p.kenmerk = d.kenmerk"""
+
+
+def _sized_profile(found: DataFrame) -> DataFrame:
+    sized = found.withColumns({
         "n_years": F.size("omzet_historie").cast("bigint"),
         "n_assets": F.size("asset_realizations").cast("bigint"),
         "n_relations": F.size("relations").cast("bigint"), "uwv": F.col("debt.pref_uwv")})
     return _shown_profile(sized, "n_years", "n_assets", "n_relations", "uwv")
 
 
+@query("extract_company", EXTRACTED)
+def _(s: Source) -> DataFrame:
+    """Flagship: one record per case, shown as its profile with the sizes of its parts."""
+    return _sized_profile(records(s))
+
+
+def _mined_twice(s: Source) -> tuple[DataFrame, DataFrame]:
+    """The mined-report table after two runs, and the texts that count.
+
+    The first run meets the reports of even customers, some with an older text; the second all.
+    """
+    folder = work_dir(s.spark, "mined")
+    report_texts(s).write.parquet(f"{folder}/texts")
+    texts = s.spark.read.parquet(f"{folder}/texts")
+    older = F.when((F.col("k") % 10 == 0) & (F.col("role") == "late"),
+                   F.concat("text", F.lit("\n2. Personeel\nAantal ten tijde van faillissement\n 4")))
+    first = texts.filter("k % 2 = 0").withColumn("text", F.coalesce(older, "text"))
+    add_reports(first, f"{folder}/mined", datetime(2026, 1, 1))
+    add_reports(texts, f"{folder}/mined", datetime(2026, 1, 2))
+    return mined_reports(s.spark, f"{folder}/mined"), texts
+
+
+@query("extract_mined", EXTRACTED)
+def _(s: Source) -> DataFrame:
+    """Records from reports mined in two runs: those of one run over all texts."""
+    mined, texts = _mined_twice(s)
+    return _sized_profile(extract_mined(worklist(s), mined, report_keys(texts), replies(s),
+                                        salt=SALT))
+
+
+@query("mined_rounds", """select '2026-01-01' as first_mined, 3 * count(*) as n from {customer}
+      where c_custkey % 2 = 0
+    union all select '2026-01-02', 3 * count(*) filter (where c_custkey % 2 = 1)
+      + count(*) filter (where c_custkey % 10 = 0) from {customer}""")
+def _(s: Source) -> DataFrame:
+    """A report is mined when its text is first met: a changed text is a new one."""
+    mined, _ = _mined_twice(s)
+    firsts = mined.groupBy("document_kenmerk", "text_digest").agg(F.min("mined_at").alias("at"))
+    return firsts.groupBy(F.date_format("at", "yyyy-MM-dd").alias("first_mined")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @query("live_extraction", f"""select 'processed_revenue' as table_name, kenmerk,
       cast(jaar as varchar) as item, omzet as amount from ({_merged_cases()}) y
     union all select 'processed_asset_sales', concat('K', cast(k as varchar)), categorie, bedrag

@@ -13,7 +13,7 @@ from estatelens.functions.privacy import (
     is_person_name, known_person_pattern, looks_like_company, person_hash, person_pattern,
     redact_persons, scrub_known_persons,
 )
-from estatelens.functions.sections import governance_tail, pick_section, settlement_tail
+from estatelens.functions.sections import governance_tail, settlement_tail
 from estatelens.functions.stages import compute_once
 from estatelens.functions.text import (
     blank_to_null, filled, grounded, grounded_in, norm_name, squeeze, strip,
@@ -25,30 +25,11 @@ from estatelens.vocab import (
 
 FIELDS = ["sector", "oorzaak", "doorstart", "koopsom", "domeinnamen", "directie", "bank",
           "rechtmatigheid", "vastgoed", "afwikkeling"]
+#: Sections that answers are checked against.
+CHECKED_SECTIONS = ["andere_activa", "doorstart", "inventarisatie", "zekerheden"]
 RELATION = "struct<relatie:string,company_name:string,detail:string>"
 
 
-def section_texts(first: Column, latest: Column) -> dict[str, Column]:
-    """The section each question is about, from the earliest and the latest narrative.
-
-    What a company did stands best in the first report, how its estate went in the latest.
-    """
-    texts = {"activiteiten": pick_section("activiteiten", first, latest)}
-    for key in ("oorzaak", "doorstart", "andere_activa", "zekerheden", "rechtmatigheid",
-                "activa", "crediteuren", "personeel"):
-        texts[key] = pick_section(key, latest, first)
-    texts["inventarisatie"] = F.coalesce(
-        blank_to_null(pick_section("inventarisatie", first, latest)),
-        pick_section("head", first, latest))
-    return texts
-
-
-def with_section_texts(cases: DataFrame) -> DataFrame:
-    """Adds ``text``, a struct of the chosen sections, to rows with maps ``first``, ``latest``."""
-    texts = section_texts(F.col("first"), F.col("latest"))
-    return cases.withColumn("text", F.struct(*[c.alias(k) for k, c in texts.items()]))
-
-
 def prompt_requests(cases: DataFrame, clamp: int | None = None,
                     restarts: DataFrame | None = None, section_clamp: int | None = None,
                     attempt: int = 1) -> DataFrame:
@@ -239,10 +220,10 @@ def validate_responses(cases: DataFrame, salt: str) -> DataFrame:
     """Rows with the struct ``text``, answers ``a_<field>``, ``debtor_name`` and the parsed
     creditor count ``parsed_count`` to checked profile columns and relations."""
     kept = [c for c in cases.columns if c != "text" and not c.startswith("a_")]
-    used = ("andere_activa", "doorstart", "inventarisatie", "zekerheden")
-    cases = cases.select("*", *[F.col(f"text.{c}").alias(f"_text_{c}") for c in used]).drop("text")
+    cases = cases.select("*", *[F.col(f"text.{c}").alias(f"_text_{c}")
+                                for c in CHECKED_SECTIONS]).drop("text")
     a = {f: F.col(f"a_{f}") for f in FIELDS}
-    t = {c: F.col(f"_text_{c}") for c in used}
+    t = {c: F.col(f"_text_{c}") for c in CHECKED_SECTIONS}
     activity, sector = valid_summary(a["sector"], "activiteiten", "sector")
     cause, cause_label = valid_summary(a["oorzaak"], "oorzaak", "categorie")
     staged = compute_once(cases, {

@@ -33,6 +33,7 @@ ASSET_SALES = TableSpec("processed_asset_sales", ("kenmerk", "categorie"), "extr
 DEBT = TableSpec("processed_debt", ("kenmerk",), "extracted_at")
 RELATIONS = TableSpec("processed_relations", ("kenmerk", "relatie", "company_name"),
                       "extracted_at")
+MINED = TableSpec("mined_reports", ("document_kenmerk", "text_digest"), "mined_at")
 LISTING = TableSpec("fv_listing", ("verslag_kenmerk",), "fetched_at")
 PROBES = TableSpec("backfill_probe", ("insolventienummer",), "probed_at")
 

@@ -412,9 +412,7 @@ def payload_rows(s: Source) -> DataFrame:
 
 
 def _decoded(s: Source) -> DataFrame:
-    rows = payload_rows(s)
-    return payloads.decode_case(rows.filter(
-        payloads.attempt_status(F.col("payload")) == "ok")).select("c_custkey", "record")
+    return payloads.readable_cases(payload_rows(s)).select("c_custkey", "record")
 
 
 _TYPE = """case when c_mktsegment in ('BUILDING', 'MACHINERY') then 'company'
@@ -438,6 +436,15 @@ def _(s: Source) -> DataFrame:
                                   .alias("status"))
 
 
+@query("payload_status", """select c_custkey, case when c_custkey % 23 > 20 then 'fetch_failed'
+      when c_custkey % 23 = 20 then 'purged' else 'ok' end as status,
+      c_custkey % 23 < 20 as readable from {customer}""")
+def _(s: Source) -> DataFrame:
+    """The status that comes with the parse."""
+    return payloads.read_payloads(payload_rows(s)).select(
+        "c_custkey", "status", F.col("m").isNotNull().alias("readable"))
+
+
 @query("entity_type", f"select c_custkey, type, kvk_nummer from ({_CASES})")
 def _(s: Source) -> DataFrame:
     return _decoded(s).select("c_custkey", "record.type", "record.debtor.kvk_nummer")

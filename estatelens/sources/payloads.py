@@ -86,7 +86,8 @@ def _well_formed(model: Column) -> Column:
 def attempt_status(payload: Column) -> Column:
     """``purged`` for a null model, ``ok`` for a case that can be read, else ``fetch_failed``.
 
-    The case is the ``model`` of an object, or the object itself where it has none.
+    The case is the ``model`` of an object, or the object itself where it has none.  This looks at
+    the types of all members of any payload; ``read_payloads`` needs it for odd ones only.
     """
     def status(v: Column) -> Column:
         wrapped = F.try_variant_get(v, "$.model", "variant")
@@ -173,6 +174,42 @@ def _publications(source: Column) -> Column:
                       F.array().cast(RECORD["publications"].dataType))
 
 
+_CORRUPT = "_corrupt"
+_BOTH = T.StructType(API_CASE.fields + API_MODEL.fields)  # with and without the ``model`` wrapper
+_ENVELOPE = T.StructType([T.StructField("case", _BOTH), T.StructField(_CORRUPT, T.StringType())])
+
+
+def read_payloads(payloads: DataFrame) -> DataFrame:
+    """(payload, …) to the other columns, ``status`` and ``m``, the case (NULL unless ``ok``).
+
+    One parse gives both.  It reports every payload that is no object or has a member of another
+    type than the schema's, so what it reports nothing about is ``ok``; only the rest, and what
+    may have a null model, is looked at member by member.  Of a member that occurs twice the last
+    value counts.
+    """
+    keep = [c for c in payloads.columns if c != "payload"]
+    payload = F.col("payload")
+    # as a member of an object, so that text behind the payload's end is an error too
+    parsed = F.from_json(F.concat(F.lit('{"case":'), payload, F.lit("}")), _ENVELOPE,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    rows = compute_once(payloads, {"_p": parsed})
+    case = F.col("_p.case")
+    named = F.contains(payload, F.lit("model")) | F.contains(payload, F.lit("\\u"))
+    plain = (F.col(f"_p.{_CORRUPT}").isNull() & case.isNotNull()
+             & (case["model"].isNotNull() | ~named))
+    status = F.when(F.coalesce(plain, F.lit(False)), "ok").otherwise(attempt_status(payload))
+    rows = compute_once(rows, {"status": status}, [*keep, "_p"])
+    bare = F.struct(*[case[f].alias(f) for f in API_MODEL.fieldNames()])
+    return rows.select(*keep, "status", F.when(
+        F.col("status") == "ok", F.coalesce(case["model"], bare)).alias("m"))
+
+
+def readable_cases(payloads: DataFrame) -> DataFrame:
+    """(query_kenmerk, payload, …) to the rows whose case can be read, plus ``record``."""
+    rows = read_payloads(payloads).filter("status = 'ok'").drop("status")
+    return _decoded(rows, [c for c in payloads.columns if c != "payload"])
+
+
 def decode_case(payloads: DataFrame) -> DataFrame:
     """(query_kenmerk, payload, …) of readable payloads to the same rows plus ``record``.
 
@@ -180,13 +217,15 @@ def decode_case(payloads: DataFrame) -> DataFrame:
     personal details make a sole trader or a person, by whether any registry number is known;
     a registry number on a trade name alone is a company.
     """
-    # a payload with and without the ``model`` wrapper is read by one parse
-    both = T.StructType(API_CASE.fields + API_MODEL.fields)
     bare = F.struct(*[F.col("_p")[f].alias(f) for f in API_MODEL.fieldNames()])
     keep = [c for c in payloads.columns if c != "payload"]
-    parsed = compute_once(payloads, {"_p": F.from_json("payload", both)}, keep).select(
+    parsed = compute_once(payloads, {"_p": F.from_json("payload", _BOTH)}, keep).select(
         *keep, F.coalesce(F.col("_p.model"), bare).alias("m"))
+    return _decoded(parsed, keep)
+
 
+def _decoded(parsed: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows with a case ``m`` to ``keep`` and ``record``."""
     def person(key: str) -> Column:
         return F.try_element_at("m.persoon", F.lit(key))
 
@@ -300,13 +339,13 @@ def normalise_cases(payloads: DataFrame, salt: str, reports: DataFrame | None =
                     git_sha: str = "") -> DataFrame:
     """(query_kenmerk, scraped_at, payload) to attempt-log rows.
 
-    Every payload yields one row in one pass: its status, and for readable cases the entity class
-    and the anonymised record as JSON.  ``reports`` adds documents to company cases; of several
+    Every payload yields one row from one parse: its status, and for readable cases the entity
+    class and the anonymised record as JSON.  ``reports`` adds documents to company cases; of several
     replies for one number the lowest text counts.
     """
-    staged = compute_once(payloads, {"status": attempt_status(F.col("payload"))})
+    rows = read_payloads(payloads)
     ok = F.col("status") == "ok"
-    readable = anonymise(decode_case(staged), salt)
+    readable = anonymise(_decoded(rows, [c for c in rows.columns if c != "m"]), salt)
     if reports is not None:
         number = F.when(ok & _reportable(F.col("record.type"), F.col("record.insolventienummer")),
                         F.col("record.insolventienummer"))

@@ -66,6 +66,30 @@ def test_attempt_status(evaluate):
     assert evaluate(good, payloads.attempt_status) == ["ok"] * len(good)
 
 
+def test_status_of_one_parse_equals_the_status_of_all_types(spark):
+    """Shapes that the schema reads, reports, or reads although they are no case."""
+    member = ['"x"', '""', "0", "7", "true", "false", "null", "[]", "{}", "[null]", '["x"]', "[[]]",
+              '[{"a": 1}]', '[null, {"a": 1}]', '[{"a": 1}, 3]', '{"a": 1}', '{"a": {"b": [1]}}']
+    names = ["persoon", "curators", "publicatiegeschiedenis", "handelendOnderDeNamen", "RC",
+             "onbekend"]
+    inner = [f'{{"{n}": {v}, "status": 1}}' for n in names for v in member]
+    bodies = [None, "", " ", "x", "{", "null", "[]", "[{}]", "{}", " {} ", '"a"', "5", '{"a": 1} x',
+              '{"a": 1}{"b": 2}', '{"a": 1}, {"b": 2}', '{"m\\u006fdel": null}',
+              '{"model": null, "RC": "r"}', '{"curators": "x", "model": {"RC": "r"}}',
+              '{"model": {"curators": [{"adres": "x", "achternaam": "Bos"}]}}',
+              *inner, *[f'{{"model": {v}}}' for v in [*member, *inner]]]
+    df = spark.createDataFrame(list(enumerate(bodies)), "i int, payload string")
+    want = {r.i: r.s for r in df.select("i", payloads.attempt_status(df.payload).alias("s"))
+            .collect()}
+    got = {r.i: r for r in payloads.read_payloads(df).collect()}
+    assert {bodies[i]: r.status for i, r in got.items()} == {bodies[i]: s for i, s in want.items()}
+    assert all((r.m is not None) == (r.status == "ok") for r in got.values())
+    kept = got[bodies.index('{"model": {"curators": [{"adres": "x", "achternaam": "Bos"}]}}')]
+    assert kept.status == "ok"
+    read = got[bodies.index('{"curators": "x", "model": {"RC": "r"}}')]
+    assert read.m["RC"] == "r"
+
+
 def test_anonymise_keeps_companies_and_trustees(spark):
     body = {"achternaam": "Bos"}
     df = spark.createDataFrame(

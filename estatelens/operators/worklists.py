@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.functions.dates import case_year, period_start
+from estatelens.operators.attempts import attempt_state, refreshed_kind
 from estatelens.operators.latest import latest_per_key
 from estatelens.schemas import DOCUMENTS
 from estatelens.vocab import COURTS, TERMINAL_EVENTS
@@ -15,7 +16,6 @@ from estatelens.vocab import COURTS, TERMINAL_EVENTS
 MAX_ATTEMPTS = 3
 COOLDOWN_MINUTES = 60
 REFRESH_DAYS = 14
-REFRESHED_TYPES = ["company", "eenmanszaak"]
 
 
 def publications_since(pubs: DataFrame, period: str, now: datetime,
@@ -51,10 +51,15 @@ def discovery_eligible(candidates: DataFrame, raw: DataFrame, now: datetime,
     """Candidates (kenmerk, court) never scraped successfully and due for another attempt."""
     seen = attempt_summary(raw)
     joined = candidates.select("kenmerk", "court").join(seen, "kenmerk", "left")
-    due = ((F.col("purged") == 0) & (F.col("successes") == 0)
-           & (F.col("attempts") < max_attempts)
-           & (F.col("last_attempt") <= F.lit(now - cooldown)))
-    return joined.filter(F.col("attempts").isNull() | due).select("kenmerk", "court")
+    return joined.filter(_due(now, max_attempts, cooldown)).select("kenmerk", "court")
+
+
+def _due(now: datetime, max_attempts: int, cooldown: timedelta) -> Column:
+    """Never tried, or without a good or final answer and neither too often nor just now."""
+    again = ((F.col("purged") == 0) & (F.col("successes") == 0)
+             & (F.col("attempts") < max_attempts)
+             & (F.col("last_attempt") <= F.lit(now - cooldown)))
+    return F.col("attempts").isNull() | again
 
 
 def refresh_candidates(raw: DataFrame, pubs: DataFrame, now: datetime,
@@ -63,21 +68,11 @@ def refresh_candidates(raw: DataFrame, pubs: DataFrame, now: datetime,
     """Open company and sole-trader cases whose last good scrape is old: all of them, or the
     ``limit`` oldest.
 
-    ``on`` names the publication column holding the attempt-log id.  The entity class at the
-    last good scrape rides in the low digits of a number: a numeric aggregate needs no sort.
+    ``on`` names the publication column holding the attempt-log id.
     """
-    kinds = F.array(F.lit("person"), *[F.lit(t) for t in REFRESHED_TYPES])
-    code = F.array_position(kinds, F.col("entity_type"))
-    ok = F.col("status") == "ok"
-    stamp = F.unix_micros(F.col("scraped_at").cast("timestamp"))
-    per_case = (
-        raw.filter(F.col("status").isin("ok", "purged")).groupBy("kenmerk").agg(
-            F.max(F.when(ok, F.col("scraped_at"))).alias("last_ok"),
-            F.max(F.when(ok, stamp * 8 + code)).alias("coded"),
-            F.count_if(F.col("status") == "purged").alias("purged")))
-    open_cases = per_case.filter(
-        (F.pmod("coded", F.lit(8)) >= 2) & (F.col("purged") == 0)
-        & (F.col("last_ok") < F.lit(now - timedelta(days=days))))
+    per_case = attempt_state(raw.filter(F.col("status").isin("ok", "purged")))
+    open_cases = per_case.filter(refreshed_kind() & (F.col("purged") == 0)
+                                 & (F.col("last_ok") < F.lit(now - timedelta(days=days))))
     closed = (pubs.filter(F.col("event_type").isin(TERMINAL_EVENTS))
               .select(F.col(on).alias("kenmerk")).distinct())
     stale = open_cases.join(closed, "kenmerk", "left_anti").select("kenmerk", "last_ok")
@@ -96,8 +91,36 @@ def fetch_worklist(raw: DataFrame, pubs: DataFrame, candidates: DataFrame, now:
                    cooldown: timedelta = timedelta(minutes=COOLDOWN_MINUTES),
                    days: int = REFRESH_DAYS, limit: int | None = None) -> DataFrame:
     """(kenmerk, court) of every case to fetch now."""
-    return task_union(discovery_eligible(candidates, raw, now, max_attempts, cooldown),
-                      refresh_candidates(raw, pubs, now, days, limit))
+    return due_cases(attempt_state(raw), pubs, candidates, now, max_attempts, cooldown, days,
+                     limit)
+
+
+def due_cases(state: DataFrame, pubs: DataFrame, candidates: DataFrame, now: datetime,
+              max_attempts: int = MAX_ATTEMPTS,
+              cooldown: timedelta = timedelta(minutes=COOLDOWN_MINUTES),
+              days: int = REFRESH_DAYS, limit: int | None = None) -> DataFrame:
+    """(kenmerk, court) of every case to fetch now, by a state of attempts (``attempt_state`` of
+    the log, or ``attempts.read_state``), which is read once.
+
+    No case is both new and old: a new one has no good attempt, one to refresh has.  So candidates,
+    state and closed cases meet in one chain of joins, and each row decides for itself.  With a
+    ``limit`` the oldest cases to refresh are taken first, in a second reading.
+    """
+    found = candidates.groupBy("kenmerk").agg(F.collect_list("court").alias("courts"))
+    closed = (pubs.filter(F.col("event_type").isin(TERMINAL_EVENTS)).select("kenmerk").distinct()
+              .withColumn("closed", F.lit(True)))
+    old = (refreshed_kind() & (F.col("purged") == 0)
+           & (F.col("last_ok") < F.lit(now - timedelta(days=days))))
+    known = state.withColumn("old", F.coalesce(old, F.lit(False)))
+    cases = found.join(known, "kenmerk", "full").join(closed, "kenmerk", "left")
+    new = F.col("courts").isNotNull() & F.coalesce(_due(now, max_attempts, cooldown), F.lit(False))
+    stale = F.coalesce(F.col("old"), F.lit(False)) & F.col("closed").isNull()
+    if limit is None:
+        courts = F.when(new, F.col("courts")).when(stale, F.array(F.lit("")))
+        return cases.select("kenmerk", F.explode(courts).alias("court"))
+    oldest = cases.filter(stale).orderBy("last_ok", "kenmerk").limit(limit)
+    return cases.filter(new).select("kenmerk", F.explode("courts").alias("court")).union(
+        oldest.select("kenmerk", F.lit("").alias("court")))
 
 
 def _succeeded(raw: DataFrame) -> DataFrame:

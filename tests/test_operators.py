@@ -144,3 +144,44 @@ def test_month_layout_prunes(spark, tmp_path):
     plan = late._jdf.queryExecution().executedPlan().toString()
     assert "scraped_month" in plan.split("PartitionFilters")[1].split("]")[0]
     assert "status" in plan.split("PushedFilters")[1].split("]")[0]
+
+
+def test_attempt_state_adds_up_and_is_scanned_once(spark, tmp_path):
+    from estatelens.operators import attempts
+
+    log = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1), "ok", "company"), ("a", datetime(2024, 2, 1), "ok", "person"),
+         ("b", datetime(2024, 1, 1), "ok", "person"), ("b", datetime(2024, 3, 1), "ok", "company"),
+         ("c", datetime(2024, 1, 1), "fetch_failed", ""), ("d", datetime(2024, 1, 1), "ok", None),
+         ("d", datetime(2024, 1, 2), "purged", ""), ("e", datetime(2024, 1, 1), "ok", "company"),
+         (None, datetime(2024, 1, 1), "ok", "company")],
+        "kenmerk string, scraped_at timestamp, status string, entity_type string")
+    log.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    whole = sorted(map(repr, attempts.attempt_state(log).collect()))
+    path = str(tmp_path / "state")
+    for month in ("2024-02", "2024-01", "2024-03", "2024-01"):  # any order, one part twice
+        attempts.add_attempts(log.filter(F.date_format("scraped_at", "yyyy-MM") == month), path,
+                              month)
+    kept = attempts.read_state(spark, path)
+    assert sorted(map(repr, kept.collect())) == whole
+    attempts.compact_state(spark, path, str(tmp_path / "compact"))
+    assert sorted(map(repr, attempts.read_state(spark, str(tmp_path / "compact")).collect())) \
+        == whole
+
+    pubs = spark.createDataFrame([("e", "einde"), ("e", "zitting")], "kenmerk string, event_type string")
+    candidates = spark.createDataFrame([("c", "C1"), ("c", "C2"), ("n", "C1"), ("b", "C1")],
+                                       "kenmerk string, court string")
+    pubs = pubs.withColumn("event_type", F.when(F.col("event_type") == "einde",
+                                                F.lit(worklists.TERMINAL_EVENTS[0]))
+                           .otherwise(F.col("event_type")))
+    now = datetime(2024, 6, 1)
+    want = [("b", ""), ("c", "C1"), ("c", "C2"), ("n", "C1"), (None, "")]
+    direct = worklists.fetch_worklist(log, pubs, candidates, now)
+    for got in (direct, worklists.due_cases(kept, pubs, candidates, now)):
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    limited = worklists.fetch_worklist(log, pubs, candidates, now, limit=1)
+    assert sorted(map(tuple, limited.collect()), key=str) == sorted(
+        [(None, ""), *want[1:4]], key=str)
+    plan = direct._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count(f"{tmp_path.name}/log") == 1

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.components import components
-from estatelens.llm.storage import written
+from estatelens.llm.storage import brought_back, passing_tables, set_aside, written
 from estatelens.llm.textbytes import (combine, shingle_hashes, text_slices, word_hashes,
                                       word_spans)
 
@@ -399,16 +399,8 @@ def _rest(placed: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
         .select(F.col("a.class").alias("hub"), F.col("b.class").alias("member")).distinct())
 
 
-def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text, ...)``.
-
-    Two rows link when their shingle sets have similarity ``percent`` or more; the component is
-    the smallest doc_id reachable.  Words are runs outside ``\\x20 \\x09-\\x0D``, A-Z lower-cased;
-    a text with fewer words than a shingle is one shingle.  NULL, empty and blank texts have no
-    shingles and link with nothing: their component is their own doc_id.  Repeated rows are all
-    returned.  A row without doc_id takes its component from rows that have one (NULL if none).
-    Other columns are ignored.  Equal sets are recognised by 64-bit digests.
-    """
+def _joined_classes(docs: DataFrame, params: JaccardParams) -> tuple[DataFrame, DataFrame]:
+    """The stored table of sets, and ``node, component`` of the classes that link."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = count_levels(docs.select("text"), params)
     table = written(_set_table(docs, levels, params), "sets")
@@ -439,8 +431,23 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
         if joined is not None:
             found = found.union(joined.select(F.col("node").alias("hub"),
                                               F.col("component").alias("member")))
-        joined = written(components(found, "hub", "member"), "joined")
+        joined = written(components(found, "hub", "member"), "joined" if step == "rest" else "half")
+    return table, joined
+
 
+def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text, ...)``.
+
+    Two rows link when their shingle sets have similarity ``percent`` or more; the component is
+    the smallest doc_id reachable.  Words are runs outside ``\\x20 \\x09-\\x0D``, A-Z lower-cased;
+    a text with fewer words than a shingle is one shingle.  NULL, empty and blank texts have no
+    shingles and link with nothing: their component is their own doc_id.  Repeated rows are all
+    returned.  A row without doc_id takes its component from rows that have one (NULL if none).
+    Other columns are ignored.  Equal sets are recognised by 64-bit digests.
+    """
+    # the lists, texts and pairs on the way are deleted once the components are stored
+    with passing_tables(docs.sparkSession, "sets", "joined"):
+        table, joined = _joined_classes(docs, params)
     named = (table.where("class is not null").select("class", "doc_id")
              .join(joined.withColumnRenamed("node", "class"), "class", "left")
              .select(F.coalesce("component", "class").alias("root"), "class", "doc_id"))
@@ -455,13 +462,16 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
 def drop_near_copies(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id.
 
-    All columns are kept.  Texts without words are never copies of anything.  Repeated rows of a
-    kept document are one row.  Rows without doc_id cannot be named, so they stay.
+    All columns are kept, whatever their names.  Texts without words are never copies of anything.
+    Repeated rows of a kept document are one row.  Rows without doc_id cannot be named, so they
+    stay.
     """
     placed = jaccard_components(docs, params).groupBy("doc_id").agg(
-        F.count("*").alias("_rows"), F.max(F.col("component_id") == F.col("doc_id"))
-        .alias("_keep")).where("_keep").select(F.col("doc_id").alias("_kept"), "_rows")
-    kept = docs.join(placed, docs.doc_id.cast("long") == F.col("_kept"))
-    single = kept.where("_rows = 1").select(*docs.columns)
-    return (single.union(kept.where("_rows > 1").select(*docs.columns).dropDuplicates())
-            .union(docs.where("doc_id is null")))
+        F.count("*").alias("rows"), F.max(F.col("component_id") == F.col("doc_id"))
+        .alias("keep")).where("keep").select(F.col("doc_id").alias("kept"), "rows")
+    own = set_aside(docs, ["doc_id"])
+    kept = own.join(placed, own.doc_id.cast("long") == F.col("kept"))
+    single = kept.where("rows = 1").select(*own.columns)
+    return brought_back(
+        single.union(kept.where("rows > 1").select(*own.columns).dropDuplicates())
+        .union(own.where("doc_id is null")), docs.columns, ["doc_id"])

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelens.llm.storage import written
+from estatelens.llm.storage import brought_back, set_aside, written
 
 LEVELS = ("domain", "lang", "source")
 
@@ -100,15 +100,30 @@ def _bucket(hash_column, bits: int):
     return F.shiftrightunsigned(hash_column, 64 - bits)
 
 
+NEEDED = ["doc_id", "text", "lang", "source"]
+
+
 def mix_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """Rows of ``docs(doc_id, text, lang, source, ...)`` chosen for the mixture.
 
     All columns are kept, and ``_leaf`` (domain, lang, source), ``_tokens`` (words) and ``_epoch``
-    are added; a row stands once for each epoch it is taken in.  NULL lang or source are the name
+    are added, in place of columns of these names; a row stands once for each epoch it is taken
+    in.  NULL lang or source are the name
     ``''``, a NULL text has no tokens.  A document is taken in the last, partial epoch if all
     documents of its leaf before it and itself fit the leaf's budget; the order is a hash of seed,
     epoch, doc_id and text, so repeated rows stand together.  A leaf without tokens is taken once.
     """
+    rows = _mixed(set_aside(docs, NEEDED), params)
+    return brought_back(rows, docs.columns, NEEDED, _leaf="_leaf", _tokens="_tokens",
+                        _epoch="_epoch")
+
+
+def mixed_rows(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+    """As ``mix_documents``, with the columns of ``docs`` only, whatever their names."""
+    return brought_back(_mixed(set_aside(docs, NEEDED), params), docs.columns, NEEDED)
+
+
+def _mixed(docs: DataFrame, params: MixParams) -> DataFrame:
     named = written(_named(docs, params), "named")
     stats = named.groupBy("_leaf").agg(F.sum("_tokens").alias("tokens"),
                                        F.count("*").alias("rows")) \

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.storage import written
+from estatelens.llm.storage import brought_back, set_aside, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -233,12 +233,14 @@ def personal_spans(docs: DataFrame, params: PersonalParams = PersonalParams()) -
 
 
 def redact_personal(docs: DataFrame, params: PersonalParams = PersonalParams()) -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by ``<KIND>``; all columns are kept.
+    """``docs`` with every span of ``text`` replaced by ``<KIND>``; all columns are kept, whatever
+    their names.
 
     Where spans of different kinds overlap, the one that begins first (then the longer) is
     replaced and the others with it.  A text without spans stays as it is, NULL included.
     """
-    found = _decided(written(with_spans(docs, docs.columns, params), "spans"), params)
+    rows = set_aside(docs, ["text"])
+    found = _decided(written(with_spans(rows, rows.columns, params), "spans"), params)
 
     def place(kind: str):
         return lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"),
@@ -259,5 +261,5 @@ def redact_personal(docs: DataFrame, params: PersonalParams = PersonalParams())
     begin = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
     done = F.aggregate(every, begin, step, lambda state: F.concat(
         F.array_join(state["out"], ""), F.substr(F.col("text"), state["pos"] + 1)))
-    return found.select(*[F.when(F.size(every) > 0, done).otherwise(F.col("text")).alias("text")
-                          if c == "text" else F.col(c) for c in docs.columns])
+    clean = F.when(F.size(every) > 0, done).otherwise(F.col("text"))
+    return brought_back(found.select(clean.alias("text"), "others"), docs.columns, ["text"])

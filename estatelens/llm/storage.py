@@ -5,8 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_SCOPES: list[dict[str, str]] = []
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -28,4 +33,38 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage ends there."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1][path] = purpose
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession, *kept: str) -> Iterator[None]:
+    """Deletes, at the end, the tables written inside whose purpose is not among ``kept``.
+
+    What is returned from inside may read the kept tables only.
+    """
+    _SCOPES.append({})
+    try:
+        yield
+    finally:
+        for path, purpose in _SCOPES.pop().items():
+            if purpose not in kept:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def set_aside(docs: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """``needed`` columns and all others as one struct, so that no name of theirs can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    others = F.struct(*rest) if rest else F.lit(0)
+    return docs.select(*needed, others.alias("others"))
+
+
+def brought_back(rows: DataFrame, columns: Sequence[str], needed: Sequence[str],
+                 **added: str) -> DataFrame:
+    """The columns of the table that ``set_aside`` was given, and ``added`` ones (new name and
+    column), which stand in for columns of that name."""
+    own = [F.col(c) if c in needed else F.col("others").getField(c).alias(c)
+           for c in columns if c not in added]
+    return rows.select(*own, *[F.col(c).alias(name) for name, c in added.items()])

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatelens.llm.storage import brought_back, set_aside
 from estatelens.llm.textbytes import (PUNCTUATION, combine, running_hash, span_hashes,
                                       text_slices, word_spans)
 from estatelens.llm.tokens import release_chunks
@@ -187,8 +188,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame,
 
 def drop_toxic(docs: DataFrame, labels: DataFrame,
                params: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """The rows of ``docs`` whose text scores below the threshold, all columns kept."""
+    """The rows of ``docs`` whose text scores below the threshold, all columns kept, whatever their
+    names."""
     weights = fit_toxicity(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
                            labels.select("doc_id", "toxic"), params)
-    return (score_texts(docs, weights, params, "_toxicity", docs.columns)
-            .where(F.col("_toxicity") < params.threshold).drop("_toxicity"))
+    rows = score_texts(set_aside(docs, ["text"]), weights, params, "score", ["text", "others"])
+    return brought_back(rows.where(F.col("score") < params.threshold), docs.columns, ["text"])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from estatelens.llm.jaccard import drop_near_copies
-from estatelens.llm.mixing import MixParams, mix_documents
+from estatelens.llm.mixing import MixParams, mixed_rows
 from estatelens.llm.packing import pack_documents
 from estatelens.llm.personal import redact_personal
 from estatelens.llm.queries import MIX
@@ -34,7 +34,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the token budgets of their domain, language and source."""
-    return mix_documents(docs, PIPELINE_MIX).select(*docs.columns)
+    return mixed_rows(docs, PIPELINE_MIX)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

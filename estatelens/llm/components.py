@@ -64,8 +64,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """``node, component`` for every node of an edge; the component is its smallest node.
 
-    Tasks first contract their own edges, chunk by chunk.  Each round then shuffles the edges, whose number never grows; minima are combined before the
-    shuffle, and a hub's edges are an inner join that Spark can split.  Rounds end when the edges
+    Tasks first contract their own edges, chunk by chunk.  Each round then shuffles the edges, whose
+    number never grows; minima are combined before the shuffle, and a hub's edges are an inner join
+    that Spark can split.  Rounds end when the edges
     stay the same (their sum and count); each round is written to the shared folder.
     NULL ends and self links are ignored.
     """

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.components import components
 from estatelens.llm.storage import brought_back, passing_tables, set_aside, written
-from estatelens.llm.textbytes import (combine, shingle_hashes, text_slices, word_hashes,
+from estatelens.llm.textbytes import (combine, give_back, shingle_hashes, text_slices, word_hashes,
                                       word_spans)
 
 SKETCH_CHUNK = 1 << 16
@@ -91,6 +91,8 @@ def count_levels(texts: DataFrame, params: JaccardParams) -> np.ndarray:
                 hashes, _ = shingle_hashes(word_hashes(data, starts, ends), firsts, size)
                 at, n = np.unique((hashes >> shift).astype(np.int64), return_counts=True)
                 own[at] += n.astype(np.uint32)
+            del batch
+            give_back()
         for i in range(0, len(own), chunk):
             part = own[i:i + chunk]
             if part.any():  # counters take one byte where that holds them
@@ -207,6 +209,8 @@ def _set_table(docs: DataFrame, levels: np.ndarray, params: JaccardParams) -> Da
                     pa.ListArray.from_arrays(pa.array(at, pa.int32()),
                                              pa.array(np.concatenate(keys))),
                     *(pa.array(bits[:, i].copy()) for i in range(BITMAP_WORDS))], names)
+            batch = part = None
+            give_back()
 
     return docs.mapInArrow(sets, schema)
 

@@ -42,8 +42,8 @@ class RepetitionParams:
     """Limits in per cent.  ``run_limits``: for each length in words, the characters that may lie
     in runs of that length found twice or more; ``line_limit``: the characters that may lie in
     lines equal to an earlier one.  The first place of a run counts too, so the limits are twice the
-    usual ones, which count later places only.  ``least_words`` and ``repeat_limit`` (words in windows of
-    ``window`` words found twice or more) are the base rules, which come first."""
+    usual ones, which count later places only.  ``least_words`` and ``repeat_limit`` (words in
+    windows of ``window`` words found twice or more) are the base rules, which come first."""
 
     run_limits: dict[int, int] = field(
         default_factory=lambda: {5: 30, 6: 28, 7: 26, 8: 24, 9: 22, 10: 20})

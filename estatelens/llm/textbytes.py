@@ -76,6 +76,12 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple]:
         first = stop
 
 
+def give_back() -> None:
+    """Lets Arrow return the memory of batches that are done, which it would keep for later ones;
+    a worker is reused by other operators and shares its executor's memory."""
+    pa.default_memory_pool().release_unused()
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray,
                between: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
     """Start and end byte of every word, and the first word of each row (one entry more).

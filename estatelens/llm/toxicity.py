@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.storage import brought_back, set_aside
-from estatelens.llm.textbytes import (PUNCTUATION, combine, running_hash, span_hashes,
+from estatelens.llm.textbytes import (PUNCTUATION, combine, give_back, running_hash, span_hashes,
                                       text_slices, word_spans)
 from estatelens.llm.tokens import release_chunks
 
@@ -163,6 +163,8 @@ def score_texts(docs: DataFrame, weights: np.ndarray, params: ToxicityParams, sc
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.array(np.concatenate(out))], names)
+            del batch
+            give_back()
 
     return held.mapInArrow(scores, schema)
 

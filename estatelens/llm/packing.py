@@ -23,6 +23,7 @@ from estatelens.llm.textbytes import text_slices
 from estatelens.llm.tokens import word_ids
 
 BUCKET_ROWS = 20_000
+SLICE_BYTES = 1 << 22  # texts whose chunks are numbered together
 
 
 class Complements:
@@ -140,7 +141,7 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int =
         encoder = word_ids(path, end)
         for batch in batches:
             doc_ids = batch.column(0)
-            for first, data, offsets in text_slices(batch.column(1)):
+            for first, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
                 raw, bounds = data.tobytes(), offsets.tolist()
                 ids, begin = encoder.encode([raw[a:b] for a, b in zip(bounds, bounds[1:])])
                 begin = begin.tolist()

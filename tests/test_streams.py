@@ -1,10 +1,14 @@
 import json
 from datetime import datetime
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from estatelens.schemas import RAW_ROW
+from estatelens.streaming import jobs
 from estatelens.streaming.jobs import (
-    BAD_RECORDS, OUTPUTS, StreamSpec, fanout_rows, read_raw_stream, stream_fanout,
-    stream_tasks_filter, write_fanout,
+    BAD_RECORDS, FINISHED, OUTPUTS, StreamSpec, fanout_rows, finished_batches, read_raw_stream,
+    stream_fanout, stream_tasks_filter, write_fanout,
 )
 
 
@@ -63,6 +67,54 @@ def test_new_checkpoint_loses_nothing(spark, tmp_path):
     assert [r.record for r in fanout_rows(spark, out, BAD_RECORDS).collect()] == ["{"]
 
 
+def test_old_files_are_passed_over_without_comparing_rows(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    attempts(spark).repartition(3, "kenmerk").write.parquet(raw)
+    for checkpoint in ("c1", "c2", "c1"):
+        stream_fanout(read_raw_stream(spark, raw, max_files=1),
+                      StreamSpec(out, str(tmp_path / checkpoint))).awaitTermination()
+        rows = fanout_rows(spark, out, "processed_cases")
+        assert sorted(r.kenmerk for r in rows.collect()) == sorted(
+            f"R{i}" for i in (1, 2, 3, 6, 7, 9, 10, 11))
+    assert "Exchange" not in rows._jdf.queryExecution().toString()
+    files = [r.source_file for r in finished_batches(spark, out).collect()]
+    assert len(files) == len(set(files)) > 1
+
+
+def test_unfinished_batch_is_not_read_and_taken_over(spark, tmp_path, monkeypatch):
+    """A stream ends after its tables but before the batch counts as finished, and its checkpoint
+    is lost: the next one writes the batch, and taking up the first again adds nothing."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    first, second = (StreamSpec(out, str(tmp_path / c)) for c in ("c1", "c2"))
+
+    def run(spec):
+        stream_fanout(read_raw_stream(spark, raw), spec).awaitTermination()
+
+    def names():
+        return sorted(r.kenmerk for r in fanout_rows(spark, out, "processed_cases").collect())
+
+    attempts(spark).filter("kenmerk in ('K1', 'K2')").coalesce(1).write.parquet(raw)
+    run(first)
+    attempts(spark).filter("kenmerk = 'K3'").coalesce(1).write.mode("append").parquet(raw)
+    write = jobs._write
+
+    def fails(df, path, *rest):
+        if path.endswith(FINISHED):
+            raise OSError("lost")
+        write(df, path, *rest)
+
+    monkeypatch.setattr(jobs, "_write", fails)
+    with pytest.raises(StreamingQueryException):
+        run(first)
+    monkeypatch.setattr(jobs, "_write", write)
+    assert "R3" in {r.kenmerk for r in spark.read.parquet(f"{out}/processed_cases").collect()}
+    assert names() == ["R1", "R2"]
+    run(second)
+    assert names() == ["R1", "R2", "R3"]
+    run(first)
+    assert names() == ["R1", "R2", "R3"]
+
+
 def test_running_stream_flushes_at_its_interval(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     attempts(spark).coalesce(1).write.parquet(raw)

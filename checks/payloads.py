@@ -77,6 +77,30 @@ def _(s: Source) -> DataFrame:
     return out.select("kenmerk", F.col("scraped_at").cast("string").alias("scraped_at"))
 
 
+_DAYS = f"""select kenmerk, cast(date_trunc('day', scraped_at) as timestamp) as scraped_at
+    from ({raw(D)}) r where status = 'ok'"""
+
+
+@query("take_batch", f"""with log as ({_DAYS}),
+    first as (select kenmerk, scraped_at from log where not kenmerk like '%3'
+        and scraped_at > timestamp '{_AFTER[0]}' order by scraped_at, kenmerk limit 300),
+    top as (select scraped_at, kenmerk from first order by 1 desc, 2 desc limit 1)
+    select 0 as step, kenmerk, cast(scraped_at as varchar) as scraped_at from first union all
+    select 1, log.kenmerk, cast(log.scraped_at as varchar) from log, top
+    where log.scraped_at > top.scraped_at
+      or (log.scraped_at = top.scraped_at and log.kenmerk > top.kenmerk)""")
+def _(s: Source) -> DataFrame:
+    """Rows arrive after the first batch is committed: asked for again, it is as it was, and the
+    second goes on behind it with all that has come by then."""
+    log, folder = _daily(s), work_dir(s.spark, "batches")
+    start = (datetime.fromisoformat(_AFTER[0]), "~")
+    rawlog.take_batch(log.where("not kenmerk like '%3'"), folder, 0, start, 300)
+    steps = [rawlog.take_batch(log, folder, 0, start, 300),
+             rawlog.take_batch(log, folder, 1, start)]
+    return steps[0].withColumn("step", F.lit(0)).union(steps[1].withColumn("step", F.lit(1))).select(
+        "step", "kenmerk", F.col("scraped_at").cast("string").alias("scraped_at"))
+
+
 @query("next_checkpoint", f"""select kenmerk, cast(scraped_at as varchar) as scraped_at from (
     select kenmerk, scraped_at from ({raw(D)}) r where status = 'ok'
       and scraped_at > timestamp '1995-06-01 00:00:00') order by 2 desc, 1 desc limit 1""")

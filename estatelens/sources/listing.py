@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import html
+import json
+from collections.abc import Sequence
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StringType
 
 from estatelens.functions.casenumber import derive_case_number
 from estatelens.functions.dates import dmy_date
@@ -26,15 +29,40 @@ ROW = (
 RESULT_LINE = r"Resulaten ([\d.]+) tot ([\d.]+) van ([\d.]+)"
 
 
-_UNESCAPED = T.StructType([T.StructField(n, T.StringType())
-                           for n in ("verslag_kenmerk", "company_name", "city")])
+#: What one token decides: names with their semicolon, and printable ASCII by its number.
+ENTITIES = json.dumps({f"&{name}": text for name, text in html5.items() if name.endswith(";")}
+                      | {f"&#{n};": chr(n) for n in range(32, 127)})
+#: An entity as HTML reads it, an ampersand that begins none, or the text up to the next.
+TOKEN = r"&[^\t\n\f <&#;]{1,32};?|&#[^\t\n\f <&;]*;?|&|[^&]+"
 
 
-@F.pandas_udf(_UNESCAPED)
-def _unescape(ids: pd.Series, names: pd.Series, cities: pd.Series) -> pd.DataFrame:
-    """HTML entities; the full named-entity table exists in Python only."""
-    cols = {"verslag_kenmerk": ids, "company_name": names, "city": cities}
-    return pd.DataFrame({k: v.map(html.unescape, na_action="ignore") for k, v in cols.items()})
+@F.pandas_udf(StringType())
+def _unescape(cells: pd.Series) -> pd.Series:
+    """The rest of HTML's rules: names without semicolon, other numbers; NULL stays NULL."""
+    return cells.map(html.unescape, na_action="ignore")
+
+
+def unescaped(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``rows`` with the HTML entities of the text columns ``names`` decoded.
+
+    Tokens are looked up in a map literal.  Only cells with an entity that it lacks reach Python;
+    for all others Python is handed NULL.
+    """
+    table = F.from_json(F.lit(ENTITIES), "map<string,string>")
+    plain, rest = {}, {}
+    for name in names:
+        cell = F.col(name)
+        tokens = F.regexp_extract_all(cell, F.lit(TOKEN), F.lit(0))
+        known = F.array_join(F.transform(
+            tokens, lambda t: F.coalesce(F.try_element_at(table, t), t)), "")
+        unknown = F.exists(tokens, lambda t: t.startswith("&") & (t != "&")
+                           & F.try_element_at(table, t).isNull())
+        entity = F.contains(cell, F.lit("&"))
+        plain[name] = F.when(entity, known).otherwise(cell)
+        rest[f"_rest_{name}"] = F.when(entity & unknown, cell)
+    staged = rows.withColumns(rest | plain)
+    return staged.withColumns({
+        name: F.coalesce(_unescape(f"_rest_{name}"), F.col(name)) for name in names}).drop(*rest)
 
 
 def parse_listing(pages: DataFrame) -> DataFrame:
@@ -43,14 +71,13 @@ def parse_listing(pages: DataFrame) -> DataFrame:
         F.regexp_extract_all("html", F.lit(ROW), F.lit(0))).alias("position", "row"))
     raw = hits.select("page", "position",
                       *[F.regexp_extract("row", ROW, i).alias(f"c{i}") for i in range(1, 6)])
-    named = raw.withColumn("t", _unescape("c1", "c4", "c5"))
-    return named.select(
+    return unescaped(raw, ["c1", "c4", "c5"]).select(
         "page", "position",
-        strip(F.col("t.verslag_kenmerk")).alias("verslag_kenmerk"),
+        strip(F.col("c1")).alias("verslag_kenmerk"),
         strip(F.col("c2")).alias("kvk_nummer"),
         dmy_date(strip(F.col("c3"))).alias("verslag_datum"),
-        strip(F.col("t.company_name")).alias("company_name"),
-        strip(F.col("t.city")).alias("city"))
+        strip(F.col("c4")).alias("company_name"),
+        strip(F.col("c5")).alias("city"))
 
 
 def _count(group: int) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,41 @@ def next_checkpoint(batch: DataFrame) -> DataFrame:
     return batch.agg(top.alias("c")).select("c.scraped_at", "c.kenmerk")
 
 
+def checkpoint_of(spark: SparkSession, folder: str, step: int) -> tuple[datetime, str] | None:
+    """The checkpoint behind batch ``step`` of ``take_batch``; None where it is not committed."""
+    try:
+        commit = spark.read.parquet(f"{folder}/commits/step={step}").first()
+    except AnalysisException as error:
+        # no folder yet, or one without a finished file
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return None if commit is None else (commit.scraped_at, commit.kenmerk)
+
+
+def take_batch(raw: DataFrame, folder: str, step: int, start: tuple[datetime, str],
+               limit: int | None = None) -> DataFrame:
+    """Batch ``step`` (from 0, the first after ``start``) of the log, as kept below ``folder``.
+
+    The rows are written first; the checkpoint is computed from the written rows, and storing it
+    commits the batch.  So it cannot pass rows that nobody saw, however the log grows meanwhile.
+    A committed step is read as it was written; one cut short before its commit is written anew.
+    A batch without rows leaves the checkpoint where it was.
+    """
+    spark, rows = raw.sparkSession, f"{folder}/rows/step={step}"
+    if checkpoint_of(spark, folder, step) is None:
+        after = start if step == 0 else checkpoint_of(spark, folder, step - 1)
+        if after is None:
+            raise ValueError(f"batch {step - 1} is not committed")
+        incremental_batch(raw, after, limit).write.mode("overwrite").parquet(rows)
+        next_checkpoint(spark.read.parquet(rows)).select(
+            F.coalesce("scraped_at", F.lit(after[0]).cast(raw.schema["scraped_at"].dataType))
+            .alias("scraped_at"),
+            F.coalesce("kenmerk", F.lit(after[1])).alias("kenmerk"),
+        ).write.mode("overwrite").parquet(f"{folder}/commits/step={step}")
+    return spark.read.parquet(rows)
+
+
 def with_record(raw: DataFrame) -> DataFrame:
     """Adds the decoded record; ``malformed`` marks rows that are no JSON object."""
     schema = T.StructType(RECORD.fields + [T.StructField("_corrupt_record", T.StringType())])

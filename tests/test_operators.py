@@ -1,5 +1,7 @@
+import os
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from estatelens.operators import backfill, registry, worklists
@@ -131,6 +133,31 @@ def test_batches_lose_no_row_at_a_shared_time(spark):
     assert seen == list("abcde")
 
 
+def test_committed_batches_never_pass_rows_unseen(spark, tmp_path):
+    """Rows with an early time arrive between the steps; a step is cut short before its commit."""
+    folder, start = str(tmp_path / "batches"), (OLD - timedelta(days=1), "")
+
+    def log(names):
+        return spark.createDataFrame([(k, OLD, "ok", "", "r") for k in names], LOG)
+
+    def take(names, step, limit=2):
+        return [r.kenmerk for r in rawlog.take_batch(log(names), folder, step, start, limit)
+                .orderBy("kenmerk").collect()]
+
+    assert take("abde", 0) == ["a", "b"]
+    assert take("aabcde", 0) == ["a", "b"]  # committed: read as written
+    with pytest.raises(ValueError):
+        take("abcde", 2)
+    # rows without a commit: the step is made anew and sees what has come
+    rawlog.incremental_batch(log("de"), start).write.parquet(f"{folder}/rows/step=1")
+    os.makedirs(f"{folder}/commits/step=1")
+    assert take("abcde", 1) == ["c", "d"]
+    assert take("abcde", 2, None) == ["e"] and take("abcde", 3) == []
+    assert rawlog.checkpoint_of(spark, folder, 3) == rawlog.checkpoint_of(spark, folder, 2) == (
+        OLD, "e")
+    assert rawlog.checkpoint_of(spark, folder, 4) is None
+
+
 def test_month_layout_prunes(spark, tmp_path):
     rows = spark.createDataFrame(
         [(f"k{i}", "c", "company", datetime(2024, 1 + i % 3, 5), "ok", "r") for i in range(30)],

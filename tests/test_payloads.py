@@ -1,3 +1,4 @@
+import html
 import json
 from datetime import date, datetime
 
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from estatelens.operators import fanout
 from estatelens.sources import listing, payloads, rawlog
+from estatelens.sources.listing import unescaped
 
 
 def decode(spark, *bodies):
@@ -176,6 +178,27 @@ def test_pick_city_preference(spark):
     assert sorted(r[0] for r in df.select(fanout.pick_city(F.col("a"))).collect()) == ["W", "X"]
 
 
+def test_entities_as_the_standard_library_decodes_them(spark):
+    cells = [None, "", "plain", "a & b", "&", "&&amp;;", "Caf&eacute; &amp; Zn", "&#39;x&#39;",
+             "&#039; &#x27; &#150; &#0;", "A&B", "&notit; &not it &ampx", "&NotEqualTilde;!",
+             "&CounterClockwiseContourIntegral;", "x &copy 2024", "&amp;lt;", "&;&#;&#x;", "&lt",
+             "&" + "a" * 40 + ";", "&\n&eacute\n;"]
+    df = spark.createDataFrame([(i, c, c) for i, c in enumerate(cells)],
+                               "i int, name string, other string")
+    out = unescaped(df, ["name", "other"])
+    want = [c if c is None else html.unescape(c) for c in cells]
+    rows = out.orderBy("i").collect()
+    assert [r.name for r in rows] == want == [r.other for r in rows]
+    assert out.columns == df.columns
+
+
+def test_python_sees_only_cells_with_other_entities(spark, monkeypatch):
+    seen = F.pandas_udf(lambda cells: cells.map(lambda c: "seen", na_action="ignore"), "string")
+    monkeypatch.setattr(listing, "_unescape", seen)
+    df = spark.createDataFrame([("a & b",), ("&eacute;&#39;",), ("A&B",), ("plain",)], "c string")
+    assert [r.c for r in unescaped(df, ["c"]).collect()] == ["a & b", "é'", "seen", "plain"]
+
+
 def test_listing_entities_and_audit(spark):
     row = ('<a href="/faillissement/verslagen/verslag/alk.09.1.F.V.01">Details</a></td> '
            '<td nowrap="nowrap"> 1 </td><td nowrap="nowrap" class="sorting_1">00-00-0000</td>'

@@ -194,7 +194,9 @@ def _search(rows: DataFrame, is_query: Column, size: int, total: int,
         deal, "vec_id long, asks boolean, vector binary, shard long"), "shards")
     crowds = written(dealt.groupBy("shard").agg(F.ceil(
         F.count("*") / params.shard_rows).cast("int").alias("portions")), "crowds")
-    asking = dealt.where("asks").dropDuplicates(["vec_id"])
+    # of a repeated query id the vector with the least bytes asks, whatever the partitioning
+    asking = (dealt.where("asks").groupBy("vec_id").agg(F.min(F.struct("vector", "shard")).alias("q"))
+              .select("vec_id", "q.vector", "q.shard"))
     flocks = max(1, -(-asking.count() // params.query_rows))
     flock = F.pmod(F.xxhash64("vec_id"), F.lit(flocks)).cast("int").alias("flock")
     index = (dealt.join(crowds, "shard").select(
@@ -227,7 +229,7 @@ def top_k(vectors: DataFrame, is_query: Column, params: SearchParams = SearchPar
     smaller id.  Rows with the query's own id are not its candidates.  Vectors that are NULL or
     empty, hold NULL or non-finite numbers or ones too large for a long, and rows without id take
     no part; vectors of different dimension are not compared.  Repeated candidate rows each count;
-    a query id asks once.  ``is_query`` is a condition on the column ``vec_id``.
+    a query id asks once, with the vector whose packed bytes are least.  ``is_query`` is a condition on the column ``vec_id``.
     """
     whole = F.transform(column, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
     fits = F.forall(column, lambda x: F.abs(x.cast("double")) * scale < F.lit(9.0e18))

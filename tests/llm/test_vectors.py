@@ -50,6 +50,20 @@ def test_top_k_equals_brute_force(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_repeated_query_id_asks_once_whatever_the_partitioning(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.integers(-9, 9, (60, 3)))]
+    rows += [(50, [4.0, -8.0, 2.0]), (50, [-7.0, 1.0, 5.0]), (50, rows[50][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    own = [np.array([256.0 * x for x in v]) for i, v in rows if i == 50]
+    asks = min(own, key=lambda v: v.tobytes())
+    scored = sorted((-int(asks @ np.array([256 * x for x in v])), i) for i, v in rows if i != 50)
+    want = [(k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
+    for parts in (1, 3, 7):
+        got = top_k(df.repartition(parts), F.col("vec_id") == 50, SearchParams(k=5, shard_rows=20))
+        assert sorted((r["rank"], r.vec_id, r.score) for r in got.collect()) == want
+
+
 def test_bounds_hold_and_prune():
     rng = np.random.default_rng(1)
     rows = np.concatenate([rng.integers(-9, 9, (500, 4)) + 1000 * k for k in range(4)])

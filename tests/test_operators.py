@@ -158,6 +158,22 @@ def test_committed_batches_never_pass_rows_unseen(spark, tmp_path):
     assert rawlog.checkpoint_of(spark, folder, 4) is None
 
 
+def test_bucketed_table_is_read_in_place(spark, tmp_path):
+    """A hot case with most of the versions; two writes; no exchange when reading."""
+    rows = spark.createDataFrame(
+        [(f"k{i % 9 if i % 3 else 0}", "c", "company", NOW - timedelta(hours=(i * 7) % 200), i)
+         for i in range(300)],
+        "kenmerk string, court string, type string, scraped_at timestamp, n int")
+    for part in (0, 1):
+        tables.write_bucketed(rows.where(F.col("n") % 2 == part), "bucketed_cases",
+                              str(tmp_path / "cases"), CASES, 4)
+    live = tables.live_table(spark, "bucketed_cases", CASES, ["n"])
+    assert sorted(live.collect()) == sorted(
+        latest_per_key(rows, CASES.key, CASES.version, ["n"]).collect())
+    assert "Exchange" not in live._jdf.queryExecution().executedPlan().toString()
+    spark.sql("drop table bucketed_cases")
+
+
 def test_month_layout_prunes(spark, tmp_path):
     rows = spark.createDataFrame(
         [(f"k{i}", "c", "company", datetime(2024, 1 + i % 3, 5), "ok", "r") for i in range(30)],

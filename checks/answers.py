@@ -82,7 +82,9 @@ _ANSWERS = [
 ]
 
 def replies(s: Source) -> DataFrame:
-    keys = s.table("customer").select(F.col("c_custkey").alias("k"))
+    # keys are dealt out first: a small file of keys is one task, its answers are not small
+    parts = int(s.spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = s.table("customer").select(F.col("c_custkey").alias("k")).repartition(parts, "k")
     rows = keys.selectExpr(f"concat('K', {_K}) as kenmerk", f"explode(array({', '.join(_ANSWERS)})) as r")
     return rows.select("kenmerk", "r.field", "r.reply")
 

@@ -76,11 +76,13 @@ def answers(responses: DataFrame) -> DataFrame:
     missing), then the lowest text.
     """
     attempt = F.col("attempt") if "attempt" in responses.columns else F.lit(1)
-    usable = responses.filter(response_json(F.col("reply")).isNotNull()).select(
-        "kenmerk", "field", F.struct(attempt.alias("attempt"), "reply").alias("r"))
-    asked = responses.select("kenmerk", "field", F.lit(None).cast(
-        usable.schema["r"].dataType).alias("r"))
-    wide = usable.union(asked).groupBy("kenmerk").agg(*[
+    usable = response_json(F.col("reply")).isNotNull()
+    # replies are dealt by case before they are parsed and sorted: a task that reads them may hold
+    # many more than its share
+    dealt = responses.select("kenmerk", "field", attempt.alias("attempt"), "reply").repartition(
+        "kenmerk")
+    rows = dealt.select("kenmerk", "field", F.when(usable, F.struct("attempt", "reply")).alias("r"))
+    wide = rows.groupBy("kenmerk").agg(*[
         F.min(F.when(F.col("field") == f, F.col("r"))).alias(f"r_{f}") for f in FIELDS])
     return wide.select("kenmerk", *[response_json(F.col(f"r_{f}.reply")).alias(f"a_{f}")
                                     for f in FIELDS])

@@ -150,3 +150,14 @@ def test_whole_rows_of_every_job_can_be_read(spark):
     decoded = payloads.anonymise(payloads.decode_case(raw), "s")
     assert decoded.select("*", "record.debtor.name").filter("record.type = 'person'").count() == 1
     assert payloads.normalise_cases(raw, "s").collect()[0]["entity_type"] == "person"
+
+
+def test_replies_are_dealt_by_case_before_they_are_parsed_and_sorted(spark):
+    rows = spark.range(0, 4000, 1, 1).selectExpr(
+        "concat('K', cast(id % 400 as string)) as kenmerk", "'sector' as field",
+        """concat('{"sector": "s', cast(id as string), '"}') as reply""")
+    found = responses.answers(rows)
+    assert found.count() == 400
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    below = plan[plan.rindex("Exchange"):]
+    assert "try_parse_json" not in below and "Sort" not in below and "Aggregate" not in below

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from estatelens.functions.text import (
-    EURO, H, let, matched_euro, unify_line_ends,
+    EURO, H, let, matched_euro, opening, unify_line_ends,
 )
 from estatelens.vocab import (
     ASSET_CATEGORIES, DEBT_LABELS, DEBT_SUBSECTIONS, ESTATE_LABELS, HEADCOUNT_HEADERS,
@@ -22,9 +22,7 @@ _CELLS = ("omzet", "winst_verlies", "balanstotaal")
 
 # ------------------------------------------------------------------------------- revenue table
 
-# the header line and the 13 lines after it
-_REVENUE_BLOCK = (rf"(?mU)^(?=[^\n]*Jaar{H}+Omzet)(?=[^\n]*Balanstotaal)[^\n]*"
-                  r"(?:\n[^\n]*){0,13}")
+_REVENUE_HEADER = rf"(?U)Jaar{H}+Omzet"
 
 
 def parse_revenue(text: Column) -> Column:
@@ -34,8 +32,6 @@ def parse_revenue(text: Column) -> Column:
     not shift values.  A repeated year means a table over several companies: no rows at all.
     """
     no_rows = F.array().cast(f"array<{REVENUE_ROW}>")
-    block = F.regexp_extract(unify_line_ends(text), _REVENUE_BLOCK, 0)
-
     def table(rows: Column) -> Column:
         header = F.get(rows, F.lit(0))
         at = {w: F.instr(header, w) - 1 for w in ("Omzet", "Winst", "Balanstotaal")}
@@ -43,8 +39,8 @@ def parse_revenue(text: Column) -> Column:
             F.slice(rows, 2, 13),
             lambda ln: F.struct(
                 ln.alias("line"),
-                F.regexp_extract(ln, r"(?U)^\s*((?:19|20)\d{2})\b", 1)
-                .try_cast("int").alias("jaar"),
+                # text until the rows are made: a cast that fails costs far more than a look
+                F.regexp_extract(ln, r"(?U)^\s*((?:19|20)[0-9]{2})\b", 1).alias("jaar"),
                 (~ln.rlike(r"(?U)\S")).alias("blank")))
         parts = F.struct(
             marked.alias("marked"),
@@ -53,7 +49,7 @@ def parse_revenue(text: Column) -> Column:
         return F.when(F.contains(header, F.lit("Winst")), let(parts, from_first_year))
 
     def from_first_year(t: Column) -> Column:
-        first = F.array_position(F.transform(t["marked"], lambda m: m["jaar"].isNotNull()),
+        first = F.array_position(F.transform(t["marked"], lambda m: m["jaar"] != ""),
                                  F.lit(True))
         tail = F.when(first > 0, F.slice(t["marked"], first.cast("int"), F.lit(13)))
         return let(F.struct(tail.alias("tail"), t["b1"].alias("b1"), t["b2"].alias("b2")),
@@ -61,9 +57,9 @@ def parse_revenue(text: Column) -> Column:
 
     def until_stop(t: Column) -> Column:
         stop = F.array_position(
-            F.transform(t["tail"], lambda m: m["jaar"].isNull() & ~m["blank"]), F.lit(True))
+            F.transform(t["tail"], lambda m: (m["jaar"] == "") & ~m["blank"]), F.lit(True))
         upto = F.when(stop > 0, stop.cast("int") - 1).otherwise(F.lit(13))
-        years = F.filter(F.slice(t["tail"], F.lit(1), upto), lambda m: m["jaar"].isNotNull())
+        years = F.filter(F.slice(t["tail"], F.lit(1), upto), lambda m: m["jaar"] != "")
         return let(F.struct(years.alias("years"), t["b1"].alias("b1"), t["b2"].alias("b2")),
                    to_rows)
 
@@ -88,12 +84,19 @@ def parse_revenue(text: Column) -> Column:
                   for c in _CELLS]))
 
         total = F.aggregate(F.split(m["line"], "(?=€)"), empty, add)
-        return let(total, lambda a: F.struct(m["jaar"].alias("jaar"),
+        return let(total, lambda a: F.struct(m["jaar"].cast("int").alias("jaar"),
                                              *[a[c].alias(c) for c in _CELLS]))
 
+    def header_on(all_lines: Column) -> Column:
+        # the header line and the 13 lines after it
+        header = F.get(F.filter(all_lines, lambda ln: F.contains(ln, F.lit("Balanstotaal"))
+                                & ln.rlike(_REVENUE_HEADER)), F.lit(0))
+        return F.slice(all_lines, F.array_position(all_lines, header).cast("int"), F.lit(14))
+
     # most texts hold no table, which a plain search tells
     found = F.when(F.contains(text, F.lit("Balanstotaal")), let(
-        block, lambda b: F.when(b != "", let(F.split(b, "\n"), table))))
+        let(F.split(unify_line_ends(text), "\n"), header_on),
+        lambda rows: F.when(F.size(rows) > 0, let(rows, table))))
     return F.coalesce(found, no_rows)
 
 
@@ -115,7 +118,7 @@ def merge_revenue(primary: Column, secondary: Column) -> Column:
 
 # one scan collects every "(sub)totaal <category> ... amount"; the lookahead consumes nothing, so
 # that two labels on one line both count
-_TOTALS = (r"(?iU)totaal(?=(\s+(?:" + "|".join(p for _, p in ASSET_CATEGORIES)
+_TOTALS = (r"(?iU)[Tt]otaal(?=(\s+(?:" + "|".join(p for _, p in ASSET_CATEGORIES)
            + rf")[^\n€]*{EURO}))")
 
 
@@ -156,21 +159,39 @@ def creditor_recovery(text: Column) -> Column:
             .alias("recovery_pct"))
 
     def line(label: str) -> Column:
-        return F.regexp_extract(text, rf"(?U){label}\s+{EURO}\s+{EURO}\s+[\d.,]+\s*%", 0)
+        return F.regexp_extract(text, rf"(?U)(?=[PTC]){label}\s+{EURO}\s+{EURO}\s+[\d.,]+\s*%", 0)
 
     return F.struct(*[let(line(label), parts).alias(kind) for kind, label in RECOVERY_LABELS])
 
 
+# one scan collects every label with the amount after it; the lookahead consumes nothing, so that
+# two labels on one line both count
+_CLAIMS = (r"[TPABCtpabc](?<=(?iU)(?=((?:" + "|".join(p for _, p in DEBT_LABELS)
+           + rf")[^\n€]*{EURO}))(?s:.))")
+
+
 def debt_totals(text: Column, fallback: Column | None = None) -> Column:
     """STRUCT of labelled claims; the first source that has a label decides it."""
     sources = [text] if fallback is None else [text, fallback]
 
-    def amount(label: str) -> Column:
-        return F.coalesce(*[
-            matched_euro(F.regexp_extract(s, rf"(?iU){label}[^\n€]*({EURO})", 1))
-            for s in sources])
+    def amounts(found: Column) -> Column:
+        def amount(label: str) -> Column:
+            # of one scan's hits the first that this label opens
+            hit = F.get(F.filter(found, lambda h: h.rlike(rf"(?iU)\A{label}")), F.lit(0))
+            return matched_euro(F.coalesce(
+                F.regexp_extract(hit, rf"(?U)({EURO})\z", 1), F.lit("")))
+
+        return F.struct(*[amount(label).alias(key) for key, label in DEBT_LABELS])
 
-    return F.struct(*[amount(label).alias(key) for key, label in DEBT_LABELS])
+    hits = [let(F.regexp_extract_all(s, F.lit(_CLAIMS), F.lit(1)), amounts) for s in sources]
+    if fallback is None:
+        return F.when(text.isNotNull(), hits[0]).otherwise(_no_claims())
+    return let(F.struct(hits[0].alias("a"), hits[1].alias("b")), lambda h: F.struct(*[
+        F.coalesce(h["a"][key], h["b"][key]).alias(key) for key, _ in DEBT_LABELS]))
+
+
+def _no_claims() -> Column:
+    return F.struct(*[F.lit(None).cast("double").alias(key) for key, _ in DEBT_LABELS])
 
 
 # ------------------------------------------------------------------------------ section 8 and 2
@@ -183,11 +204,11 @@ _COUNT_LINE = rf"(?mU)^{H}{{0,39}}\d{{1,6}}(?:{H}+\d{{1,4}})?{H}*$"
 _BARE_YEAR = r"(?U)^\s*0{0,2}(?:199\d|20[0-2]\d|203[0-5])\s*$"
 
 
-def debt_sections(creditors: Column) -> Column:
+def debt_sections(creditors: Column, unified: bool = False) -> Column:
     """STRUCT of the claims and the creditor count in subsections 8.1-8.6.
 
     Subsections repeat one value line per reporting period: the last one is current.  The final
-    subsection is read for 39 lines at most.
+    subsection is read for 39 lines at most.  ``unified`` says that all its line ends are newlines.
     """
 
     def windows(pieces: Column) -> Column:
@@ -219,7 +240,8 @@ def debt_sections(creditors: Column) -> Column:
             fields.append(value.alias(key))
         return F.struct(*fields)
 
-    return let(F.split(unify_line_ends(creditors), _BEFORE_SUBSECTION), windows)
+    return let(F.split(creditors if unified else unify_line_ends(creditors), _BEFORE_SUBSECTION),
+               windows)
 
 
 def merge_debt(sections: Column, totals: Column) -> Column:
@@ -231,19 +253,23 @@ def merge_debt(sections: Column, totals: Column) -> Column:
     return F.struct(*fields, sections["concurrent_aantal"].alias("concurrent_aantal"))
 
 
-def headcount(section: Column, whole_text: Column | None = None) -> Column:
+def headcount(section: Column, whole_text: Column | None = None,
+              unified: bool = False) -> Column:
     """STRUCT of employee counts: the first bare number left of column 40 within four lines
-    below a header.  The whole text is searched only when the section gave neither count."""
+    below a header.  The whole text is searched only when the section gave neither count.
+    ``unified`` says that all line ends of the texts are newlines."""
 
     def counts(text: Column) -> Column:
-        unified = unify_line_ends(text)
+        plain = text if unified else unify_line_ends(text)
         number = rf"{H}{{0,39}}\d{{1,5}}{H}*$"
-        return F.struct(*[
-            F.regexp_extract(
-                unified,
-                rf"(?imU)^[^\n]*{header}[^\n]*(?:\n(?!{number})[^\n]*){{0,3}}"
-                rf"\n{H}{{0,39}}(\d{{1,5}}){H}*$", 1).try_cast("int").alias(key)
-            for key, header in HEADCOUNT_HEADERS])
+
+        def count(header: str) -> Column:
+            hit = F.regexp_extract(
+                plain, rf"(?mU){opening('ap', header)}[^\n]*(?:\n(?!{number})[^\n]*){{0,3}}"
+                       rf"\n{H}{{0,39}}(\d{{1,5}}){H}*$", 1)
+            return let(hit, lambda h: F.when(h != "", h.try_cast("int")))
+
+        return F.struct(*[count(header).alias(key) for key, header in HEADCOUNT_HEADERS])
 
     if whole_text is None:
         return counts(section)

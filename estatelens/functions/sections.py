@@ -9,17 +9,19 @@ from estatelens.functions.text import H, let, strip, unify_line_ends
 from estatelens.vocab import SECTION_HEADERS
 
 _ANY_HEADER = "(?:" + "|".join(p.format(h=H) for _, _, p in SECTION_HEADERS) + ")"
-_BEFORE_HEADER = rf"(?imU)^(?={H}*{_ANY_HEADER})"
+# the first look is at one character, so that other lines cost little
+_BEFORE_HEADER = rf"(?dimU)^(?={H}*[a0-9])(?={H}*{_ANY_HEADER})"
 _STARTS_WITH_HEADER = rf"(?imU)\A{H}*{_ANY_HEADER}"
 _HEADER_MARK = rf"(?iU)\A{H}*(a|\d+\.[58]?)"
 
 
-def split_sections(text: Column) -> Column:
+def split_sections(text: Column, plain: Column | None = None) -> Column:
     """MAP(section, text).
 
     The text is cut before every header line.  The first occurrence of a header opens its
     section; a repeated header stays inside the section that is open.  Text before the first
-    header is ``head``; without any header the whole text is.
+    header is ``head``; without any header the whole text is.  ``plain`` is the text with its line
+    ends unified, where a caller has it.
     """
     marks = F.create_map(*[F.lit(v) for key, mark, _ in SECTION_HEADERS for v in (mark, key)])
 
@@ -50,7 +52,8 @@ def split_sections(text: Column) -> Column:
                 open_sections))
 
     return F.when(text.isNotNull(),
-                  let(F.split(unify_line_ends(text), _BEFORE_HEADER), named))
+                  let(F.split(unify_line_ends(text) if plain is None else plain,
+                              _BEFORE_HEADER), named))
 
 
 def pick_section(key: str, *sections: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from estatelens.functions import figures
 from estatelens.functions.sections import split_sections
 from estatelens.functions.stages import compute_once
-from estatelens.functions.text import blank_to_null, clean_text, lines
+from estatelens.functions.text import blank_to_null, clean_text, lines, unify_line_ends
 from estatelens.operators.keyset import flag_known
 from estatelens.operators.responses import CHECKED_SECTIONS, answers, validate_responses
 from estatelens.vocab import DEBT_LABELS
@@ -69,7 +69,9 @@ def mine_texts(texts: DataFrame, narrative: Column | None = None,
     as_sums = F.lit(True) if financial is None else financial
     rows = compute_once(texts, {"cleaned": clean_text(F.col("text")), "_told": as_told,
                                 "_sums": as_sums})
-    rows = compute_once(rows, {"_found": F.when(F.col("_told"), split_sections(F.col("cleaned")))})
+    rows = compute_once(rows, {"_plain": unify_line_ends(F.col("cleaned"))})
+    rows = compute_once(rows, {"_found": F.when(F.col("_told"), split_sections(
+        F.col("cleaned"), F.col("_plain")))})
 
     def section(name: str) -> Column:
         return F.coalesce(F.try_element_at("_found", F.lit(name)), F.lit(""))
@@ -84,14 +86,14 @@ def mine_texts(texts: DataFrame, narrative: Column | None = None,
     return compute_once(rows, {
         "sections": told(F.struct(*[section(name).alias(name) for name in SECTIONS])),
         "revenue": told(figures.parse_revenue(F.col("text"))),
-        "by_section": told(figures.debt_sections(section("crediteuren"))),
-        "staff": told(figures.headcount(section("personeel"))),
-        "whole_staff": told(figures.headcount(whole)),
+        "by_section": told(figures.debt_sections(section("crediteuren"), unified=True)),
+        "staff": told(figures.headcount(section("personeel"), unified=True)),
+        "whole_staff": told(figures.headcount(F.col("_plain"), unified=True)),
         "assets": sums(figures.asset_realizations(whole)),
         "boedel": sums(figures.estate_balances(whole)),
         "creditors": sums(figures.creditor_recovery(whole)),
         "totals": sums(figures.debt_totals(whole)),
-    }).drop("cleaned", "text", "_told", "_sums", "_found")
+    }).drop("cleaned", "text", "_told", "_sums", "_plain", "_found")
 
 
 def _wanted_reports(worklist: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ COMPANY_SUFFIXES = ["b.v.", "n.v.", "v.o.f.", "c.v.", "b.v", "n.v", "v.o.f", "c.
 
 # --- fixed values: what text conversion leaves behind -------------------------------------------
 CONTROL_CHARACTERS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
-STRAY_BLANK = r"\b([wW]) ([a-z])"
+STRAY_BLANK = r"([wW])(?<=\b[wW]) ([a-z])"
 
 # --- fixed values: section headers of a trustee's report (h = blank, not a line break) ----------
 SECTION_HEADERS = [

@@ -138,3 +138,23 @@ def test_documents_rejoin_to_their_lines(spark):
         got = [ln.strip() for k in ("head", "personeel", "activa")
                for ln in row["s"][k].splitlines() if ln.strip()]
         assert got == want
+
+
+def test_figures_in_any_case_and_behind_odd_letters(evaluate):
+    """The first letter is looked for plainly; the others fold as before."""
+    texts = ["totaal BOEDELVORDERINGEN € 1,00 Totaal preferente ſchuldeiſers 5 € 2,00",
+             "Totaal boedelvorderingen\n€ 3,00 TOTAAL boedelvorderİngen p € \n4,00", "", None]
+    found = evaluate(texts, figures.debt_totals)
+    assert [(r["boedelvorderingen"], r["pref_totaal"]) for r in found] == [
+        (1.0, 2.0), (4.0, None), (None, None), (None, None)]
+    staff = evaluate(["x aantal TEN tijde van faill\n\n 3\n", "PERSONEEL gemiddeld aantal\n7"],
+                     figures.headcount)
+    assert [r["personeel_ttv"] for r in staff] == [3, 7]
+
+
+def test_claims_are_found_in_one_scan_and_years_without_failing_casts(spark):
+    rows = spark.createDataFrame([("Totaal boedelvorderingen € 1,00",)], "t string")
+    plan = rows.select(figures.debt_totals(rows.t).alias("d"), figures.parse_revenue(
+        rows.t).alias("r"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+    assert plan.count("try_cast") <= len(figures.DEBT_LABELS) + 1  # amounts alone

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.base import Source, query
 from checks.payloads import BAD_ROWS, FANOUT_ROWS, fanout_content, records
+from estatelens.schemas import RAW_ROW
 from estatelens.session import work_dir
 from estatelens.streaming.jobs import (
     BAD_RECORDS, OUTPUTS, StreamSpec, compact_months, fanout_rows, read_raw_stream,
@@ -21,10 +22,14 @@ def _streamed(s: Source, parts: int, checkpoints: int) -> str:
     log = records(s).select(
         "kenmerk", F.col("scraped_at").cast("timestamp").alias("scraped_at"), "status",
         "entity_type", F.lit("").alias("error"), "record", F.lit("").alias("git_sha"))
+    # rendered once, and dealt to as many files as there are cores to write them
+    files = max(3, s.spark.sparkContext.defaultParallelism)
+    log.withColumn("part", F.pmod(F.xxhash64("kenmerk"), F.lit(parts))).write.partitionBy(
+        "part").parquet(f"{folder}/log")
     for part in range(parts):
-        own = log.where(F.pmod(F.xxhash64("kenmerk"), F.lit(parts)) == part)
-        own.repartition(3, "kenmerk").write.mode("append").parquet(f"{folder}/raw")
-        stream = read_raw_stream(s.spark, f"{folder}/raw", max_files=2)
+        own = s.spark.read.schema(RAW_ROW).parquet(f"{folder}/log/part={part}")
+        own.repartition(files, "kenmerk").write.mode("append").parquet(f"{folder}/raw")
+        stream = read_raw_stream(s.spark, f"{folder}/raw", max_files=-(-files * 2 // 3))
         spec = StreamSpec(f"{folder}/out", f"{folder}/checkpoint{part % checkpoints}")
         stream_fanout(stream, spec).awaitTermination()
     return f"{folder}/out"

@@ -132,3 +132,13 @@ def test_tasks(spark):
                                 ('{"kenmerk": ""}',), ('{"court": "x"}',), ("{",), (None,)],
                                "body string")
     assert sorted(map(tuple, stream_tasks_filter(df).collect())) == [("a", "x"), ("b", "")]
+
+
+def test_the_log_of_the_checks_is_dealt_to_as_many_files_as_cores(spark):
+    from checks import streams
+    from checks.base import Source
+
+    out = streams._streamed(Source(spark, "/root/testdata/sf0.001"), 1, 1)
+    files = spark.read.parquet(out.replace("/out", "/raw")).inputFiles()
+    assert len(files) == max(3, spark.sparkContext.defaultParallelism)
+    assert finished_batches(spark, out).select("batch_id").distinct().count() == 2

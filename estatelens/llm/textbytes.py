@@ -6,6 +6,7 @@ equal words always have equal hashes, unequal ones differ but for a chance of ab
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,8 @@ class _Powers:
 
 
 _CACHE = _Powers()
+#: The C library's own way to return freed memory, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple]:
@@ -77,9 +80,11 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple]:
 
 
 def give_back() -> None:
-    """Lets Arrow return the memory of batches that are done, which it would keep for later ones;
-    a worker is reused by other operators and shares its executor's memory."""
+    """Lets Arrow and the C library return the memory of batches that are done, which they would
+    keep for later ones; a worker is reused by other operators and shares its executor's memory."""
     pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray,

@@ -16,8 +16,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from estatelens.llm.textbytes import give_back
+
 KEPT_CHUNKS = 500_000
 KEPT_LENGTH = 48
+KEPT_MARKS = 4
 _PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
 
 
@@ -44,6 +47,7 @@ class WordIds:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = end
         self.kept: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _library(self, chunk: str) -> list[int]:
         return self.tokenizer.encode(chunk, add_special_tokens=False).ids
@@ -60,9 +64,14 @@ class WordIds:
         ids = _packed([token.id for token in self.model.tokenize(word)])
         return ids + self._punctuation(plain[2]) if plain[2] else ids
 
-    @cache
     def _punctuation(self, run: str) -> bytes:
-        return _packed(self._library(run))
+        # kept by the encoder itself: a cache of the class would keep the encoder and its chunks
+        ids = self.marks.get(run)
+        if ids is None:
+            ids = _packed(self._library(run))
+            if len(run) <= KEPT_MARKS:
+                self.marks[run] = ids
+        return ids
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """The ids of each of these different chunks."""
@@ -111,3 +120,4 @@ def word_ids(path: str, end: int = 0) -> WordIds:
 def release_chunks() -> None:
     """Lets a reused worker that turns to another operator give up the chunks it kept."""
     word_ids.cache_clear()
+    give_back()

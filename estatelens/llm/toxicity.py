@@ -109,18 +109,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame,
                 at = at[order].astype(np.int32)
                 for i in range(len(offsets) - 1):
                     own = np.unique(at[begin[i]:begin[i + 1]])
-                    examples.append((np.append(own, 1 << params.bits), labels_[first + i]))
+                    own = np.append(own, np.int32(1 << params.bits))
+                    examples.append((own, labels_[first + i]))
         if not examples:
             return
         learner = Ftrl(params)
         for epoch in range(params.epochs):
             for i in np.random.default_rng(epoch).permutation(len(examples)):
                 learner.learn(*examples[i])
+        learned = len(examples)
+        examples.clear()
         weights = learner.weights(slice(None))
+        del learner
         at = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at.astype(np.int32)), pa.array(weights[at]),
-             pa.array(np.full(len(at), len(examples)))], ["at", "weight", "rows"])
+             pa.array(np.full(len(at), learned))], ["at", "weight", "rows"])
+        give_back()
 
     sample = _labelled(docs, labels, params)
     learners = max(1, -(-params.max_labelled // params.learner_rows))

@@ -1,5 +1,6 @@
 """Token counts, ids and packing against the public libraries."""
 
+import weakref
 import zlib
 
 import duckdb
@@ -9,7 +10,7 @@ import pytest
 
 from estatelens.llm.bytepairs import PieceCounter, token_counts
 from estatelens.llm.packing import pack_documents, plan_sequences
-from estatelens.llm.tokens import WordIds
+from estatelens.llm.tokens import WordIds, release_chunks, word_ids
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +62,15 @@ def test_ids_equal_the_library(monkeypatch, rows):
             assert ids[begin[k]:begin[k + 1]].tolist() == want, text[:80]
 
 
+def test_released_encoder_and_its_chunks_go():
+    encoder = word_ids(WORDS)
+    encoder.encode([b"een, twee... drie?!"])
+    alive = weakref.ref(encoder)
+    del encoder
+    release_chunks()
+    assert alive() is None
+
+
 def test_packing_keeps_every_id_once(spark, rows):
     from tokenizers import Tokenizer
 

@@ -10,7 +10,7 @@ from estatelens.llm.mixing import MixParams, mixed_rows
 from estatelens.llm.packing import pack_documents
 from estatelens.llm.personal import redact_personal
 from estatelens.llm.queries import MIX
-from estatelens.llm.storage import written
+from estatelens.llm.storage import drop_shuffles, written
 from estatelens.llm.toxicity import drop_toxic
 
 #: The mixture of the pipeline: each document at most once, nearly all of the tokens there are.
@@ -29,6 +29,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind."""
+    drop_shuffles(spark)  # near_copies is over, its shuffles are not small
     return redact_personal(docs)
 
 

@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.components import components
-from estatelens.llm.storage import brought_back, passing_tables, set_aside, written
+from estatelens.llm.storage import (brought_back, drop_shuffles, passing_tables, set_aside,
+                                    written)
 from estatelens.llm.textbytes import (combine, give_back, shingle_hashes, text_slices, word_hashes,
                                       word_spans)
 
@@ -251,6 +252,7 @@ def _shared_lists(table: DataFrame, params: JaccardParams) -> DataFrame:
     repeated = (listed.select(F.explode("keys").alias("key")).groupBy("key").count()
                 .where("count > 1"))
     shared = table.sparkSession.sparkContext.broadcast(key_filter(repeated, "key", bits))
+    drop_shuffles(table.sparkSession)
 
     def likely(batches):
         for batch in batches:
@@ -405,8 +407,10 @@ def _rest(placed: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
 
 def _joined_classes(docs: DataFrame, params: JaccardParams) -> tuple[DataFrame, DataFrame]:
     """The stored table of sets, and ``node, component`` of the classes that link."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = count_levels(docs.select("text"), params)
+    drop_shuffles(spark)
     table = written(_set_table(docs, levels, params), "sets")
     del levels
     words = [f"b{i}" for i in range(BITMAP_WORDS)]
@@ -414,7 +418,9 @@ def _joined_classes(docs: DataFrame, params: JaccardParams) -> tuple[DataFrame,
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
         *(F.first(w).alias(w) for w in words)), "classes")
     lists = _shared_lists(table, params)
+    drop_shuffles(spark)
     involved = _involved(lists, classes, docs, params)
+    drop_shuffles(spark)
     bitmaps = involved.select("class", "n", *words).dropDuplicates(["class"])
 
     headed = lists.where((F.col("head") != F.col("class"))
@@ -436,6 +442,7 @@ def _joined_classes(docs: DataFrame, params: JaccardParams) -> tuple[DataFrame,
             found = found.union(joined.select(F.col("node").alias("hub"),
                                               F.col("component").alias("member")))
         joined = written(components(found, "hub", "member"), "joined" if step == "rest" else "half")
+        drop_shuffles(spark)
     return table, joined
 
 

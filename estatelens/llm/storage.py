@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -38,6 +39,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Has the shuffle files of finished queries deleted.
+
+    Spark deletes those that nothing refers to any more, but learns of it when the driver's heap is
+    collected, which on a driver with little to do may be long after.
+    """
+    gc.collect()
+    for _ in range(2):  # what the first one lets go may hold more
+        spark._jvm.java.lang.System.gc()
+
+
 @contextmanager
 def passing_tables(spark: SparkSession, *kept: str) -> Iterator[None]:
     """Deletes, at the end, the tables written inside whose purpose is not among ``kept``.
@@ -52,6 +64,7 @@ def passing_tables(spark: SparkSession, *kept: str) -> Iterator[None]:
             if purpose not in kept:
                 folder = spark._jvm.org.apache.hadoop.fs.Path(path)
                 folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_shuffles(spark)
 
 
 def set_aside(docs: DataFrame, needed: Sequence[str]) -> DataFrame:

@@ -305,9 +305,12 @@ def fanout_content(tables: dict[str, DataFrame]) -> DataFrame:
 @query("sink_fanout", FANOUT_ROWS)
 def _(s: Source) -> DataFrame:
     """Writes one batch twice, as a replay would: the tables must not change."""
-    out = work_dir(s.spark, "fanout")
+    out, log = work_dir(s.spark, "fanout"), work_dir(s.spark, "fanout-log")
+    rendered = records(s)
+    rendered.write.parquet(log)
     for _ in range(2):
-        write_fanout(records(s), out, run_id="a", batch_id=7)
+        batch = s.spark.read.schema(rendered.schema).parquet(log)
+        write_fanout(batch, out, run_id="a", batch_id=7)
     return fanout_content({name: s.spark.read.parquet(f"{out}/{name}") for name in OUTPUTS})
 
 

@@ -42,6 +42,12 @@ def stamped(df: DataFrame, spec: TableSpec, at: datetime) -> DataFrame:
     return df.withColumn(spec.version, F.lit(at))
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that passed rows from one step to the next."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """All versions of a table, month column as text."""
     return (spark.read.option("basePath", path).parquet(path))

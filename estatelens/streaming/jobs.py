@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from estatelens.schemas import (
     CASES, DOCUMENTS, MALFORMED, PUBLICATIONS, RAW_ROW, TableSpec,
 )
 from estatelens.sources.rawlog import split_decoded, with_record
-from estatelens.sources.tables import with_month
+from estatelens.sources.tables import discard, with_month
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,11 @@ OUTPUTS: dict[str, tuple] = {
 }
 BAD_RECORDS = "malformed_records"
 FINISHED = "finished_batches"
+DECODED = "_decoded"
+# A task holds one group of rows while it writes or reads them.  Its size is looked at often, and in
+# bytes that are not compressed, so that records of any size keep to it.
+DECODED_AS = {"compression": "none", "parquet.block.size": 16 << 20,
+              "parquet.page.size.row.check.max": 200}
 FINISHED_SCHEMA = "source_file string, run_id string, batch_id long"
 
 
@@ -87,14 +92,22 @@ def write_fanout(raw: DataFrame, output: str, run_id: str, batch_id: int) -> Non
     ``run_id`` names the numbering that ``batch_id`` belongs to: the same pair again replaces
     what it wrote before, any other pair only adds.  Batches of one run come in the order of their
     numbers.  The batch counts as finished when all its tables are written.
+
+    Decoded records are stored once, next to the tables, until these are written.
     """
+    spark = raw.sparkSession
     usable = raw.filter((F.col("status") == "ok") & (F.col("record") != ""))
-    decoded = with_record(usable.select("kenmerk", "scraped_at", "record"))
-    # one exchange brings the months of all tables together
-    decoded = with_month(decoded, CASES).hint("rebalance", "scraped_month").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # one exchange brings the months of all tables together, as texts, before they are decoded
+    monthly = with_month(usable.select("kenmerk", "scraped_at", "record"), CASES).hint(
+        "rebalance", "scraped_month")
+    decoded = with_record(monthly)
+    decoded = decoded.withColumn("_raw", F.when(F.col("malformed"), F.col("_raw")))
+    # stored, not cached: what a task holds while it caches grows with the rows it is dealt
+    folder = f"{output}/{DECODED}-{quote(run_id, safe='')}-{batch_id}"
     try:
-        good, bad = split_decoded(decoded.drop("scraped_month"))
+        decoded.write.mode("overwrite").options(**DECODED_AS).parquet(folder)
+        stored = spark.read.schema(decoded.schema).parquet(folder)
+        good, bad = split_decoded(stored.drop("scraped_month"))
         outputs = {name: (rows(good), spec) for name, (rows, spec) in OUTPUTS.items()}
         if not bad.isEmpty():
             outputs[BAD_RECORDS] = (bad, MALFORMED)
@@ -102,7 +115,7 @@ def write_fanout(raw: DataFrame, output: str, run_id: str, batch_id: int) -> Non
             monthly = with_month(rows, spec).sortWithinPartitions("scraped_month", *spec.key)
             _write(monthly, f"{output}/{name}", run_id, batch_id, "scraped_month")
     finally:
-        decoded.unpersist()
+        discard(spark, folder)
     file = F.col("source_file") if "source_file" in raw.columns else F.lit(None).cast("string")
     _write(raw.select(file.alias("source_file")).distinct(), f"{output}/{FINISHED}", run_id,
            batch_id)

@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -11,6 +14,8 @@ from estatelens.streaming.jobs import (
     stream_fanout, stream_tasks_filter, write_fanout,
 )
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def attempts(spark, n=12):
     rows = []
@@ -142,3 +147,50 @@ def test_the_log_of_the_checks_is_dealt_to_as_many_files_as_cores(spark):
     files = spark.read.parquet(out.replace("/out", "/raw")).inputFiles()
     assert len(files) == max(3, spark.sparkContext.defaultParallelism)
     assert finished_batches(spark, out).select("batch_id").distinct().count() == 2
+
+
+LARGE_BATCH = """
+from pyspark.sql import functions as F
+from estatelens.session import build_session
+from estatelens.streaming.jobs import write_fanout
+
+spark = build_session("local[1]", spark__driver__memory="600m", spark__ui__enabled="false",
+                      spark__sql__shuffle__partitions="1")
+text = F.repeat(F.col("id").cast("string"), 200)
+pubs = F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.struct(
+    F.concat_ws(".", "id", i).alias("kenmerk"), text.alias("description")))
+log = spark.range(0, {rows}, 1, 1).select(
+    F.col("id").cast("string").alias("kenmerk"), F.lit("ok").alias("status"),
+    F.timestamp_seconds(F.lit(0)).alias("scraped_at"),
+    F.to_json(F.struct(pubs.alias("publications"))).alias("record"))
+write_fanout(log, "{out}", "r", 0)
+"""
+
+
+def test_memory_of_a_batch_does_not_grow_with_its_rows(spark, tmp_path):
+    """About 800 MB of decoded records pass through one task and a heap of 600 MB."""
+    out = str(tmp_path / "out")
+    script = LARGE_BATCH.format(rows=20000, out=out)
+    ran = subprocess.run([sys.executable, "-c", script], cwd=REPO, capture_output=True, text=True,
+                         timeout=300, env=os.environ | {"PYTHONPATH": REPO})
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    assert spark.read.parquet(f"{out}/processed_cases").count() == 20000
+    assert spark.read.parquet(f"{out}/processed_publications").count() == 400000
+
+
+def test_decoded_records_are_stored_for_their_batch_only(spark, tmp_path, monkeypatch):
+    """Neither cached while the tables are written nor left behind, also by a batch that fails."""
+    out, write, cached = tmp_path / "out", jobs._write, []
+
+    def looks(df, path, *rest):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        if rest[0] == "fails" and path.endswith("processed_documents"):
+            raise OSError("lost")
+        write(df, path, *rest)
+
+    monkeypatch.setattr(jobs, "_write", looks)
+    write_fanout(attempts(spark), str(out), "r/1", 0)
+    with pytest.raises(OSError):
+        write_fanout(attempts(spark), str(out), "fails", 1)
+    assert set(cached) == {0}
+    assert sorted(p.name for p in out.iterdir()) == sorted([*OUTPUTS, BAD_RECORDS, FINISHED])

@@ -194,3 +194,24 @@ def test_decoded_records_are_stored_for_their_batch_only(spark, tmp_path, monkey
         write_fanout(attempts(spark), str(out), "fails", 1)
     assert set(cached) == {0}
     assert sorted(p.name for p in out.iterdir()) == sorted([*OUTPUTS, BAD_RECORDS, FINISHED])
+
+
+def test_malformed_records_of_a_stream_are_kept_without_a_cache(spark, tmp_path, monkeypatch):
+    """As they came, beside good ones, whatever they hold; nothing is cached to look for them."""
+    bad = {"M0": "{", "M1": "geen json", "M2": "[1, 2]", "M3": '{"kenmerk": "half\nline',
+           "M4": "ü" * 5000, "M5": '"text"'}
+    rows = [(k, datetime(2024, 1, 1), "ok", "", "", record, "") for k, record in bad.items()]
+    raw, out, write, cached = str(tmp_path / "raw"), str(tmp_path / "out"), jobs._write, []
+    attempts(spark).unionByName(spark.createDataFrame(rows, RAW_ROW)).coalesce(1).write.parquet(raw)
+
+    def looks(df, path, *rest):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        write(df, path, *rest)
+
+    monkeypatch.setattr(jobs, "_write", looks)
+    stream_fanout(read_raw_stream(spark, raw), StreamSpec(out, str(tmp_path / "c"))) \
+        .awaitTermination()
+    kept = {r.kenmerk: r.record for r in fanout_rows(spark, out, BAD_RECORDS).collect()}
+    assert kept == bad | {"K5": "{"}
+    assert fanout_rows(spark, out, "processed_cases").count() == 8
+    assert set(cached) == {0}
